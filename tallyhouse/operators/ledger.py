@@ -1,0 +1,201 @@
+"""A table kept as a ledger of its changes, for earlier states, feeds and branches.
+
+Layout under one folder, all Parquet:
+
+``rows/version=N``  what commit N inserted (op ``I``) and deleted (op ``D``)
+``commits``         one row per finished commit: its number and time
+
+A commit writes its rows first and its commit row last, and readers only open
+the partitions of finished commits, so a half-written commit is never seen.
+Writing a version again replaces its partition: a repeated batch changes
+nothing. One writer at a time is assumed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from tallyhouse.operators.totals import totals_by
+
+INSERT, DELETE = "I", "D"
+
+_COMMITS = T.StructType([
+    T.StructField("version", T.LongType()), T.StructField("committed_at", T.TimestampNTZType()),
+    T.StructField("base_path", T.StringType()), T.StructField("base_version", T.LongType())])
+
+
+class Ledger:
+    """``schema`` are the columns of the table, ``keys`` the ones that identify a row."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]):
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
+        self._stored = T.StructType(
+            [*schema.fields, T.StructField("op", T.StringType()), T.StructField("version", T.LongType())])
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
+               base: Ledger | None = None, base_version: int = 0,
+               created_at: datetime | None = None) -> Ledger:
+        """Start an empty ledger (commit 0), or a branch that shares the rows of ``base``."""
+        ledger = cls(spark, path, schema, keys)
+        ledger._finish(base_version, created_at, base.path if base else None)
+        return ledger
+
+    # --- commits ---------------------------------------------------------------
+
+    def _finish(self, version: int, at: datetime | None, base_path: str | None = None) -> None:
+        row = [(version, at or datetime.now(), base_path, version if base_path else None)]
+        self.spark.createDataFrame(row, _COMMITS).coalesce(1) \
+            .write.mode("append").parquet(f"{self.path}/commits")
+
+    def commits(self) -> DataFrame:
+        """Finished commits. A repeated commit keeps its first time."""
+        log = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
+        return log.groupBy("version").agg(
+            F.min("committed_at").alias("committed_at"), F.max("base_path").alias("base_path"),
+            F.max("base_version").alias("base_version"))
+
+    def _log(self) -> list:
+        """The commit log: one short row per commit, never table rows."""
+        return self.commits().orderBy("version").collect()
+
+    def latest_version(self) -> int:
+        return max(entry.version for entry in self._log())
+
+    def version_at(self, moment: datetime) -> int:
+        """The last version committed at or before ``moment``."""
+        earlier = [e.version for e in self._log() if e.committed_at <= moment]
+        if not earlier:
+            raise ValueError(f"nothing was committed by {moment}")
+        return max(earlier)
+
+    def commit(self, inserts: DataFrame | None = None, deletes: DataFrame | None = None,
+               version: int | None = None, at: datetime | None = None) -> int:
+        """Write one batch. ``deletes`` needs the keys only; an update is a delete and an insert."""
+        version = self.latest_version() + 1 if version is None else version
+        names = self.schema.fieldNames()
+        parts = []
+        if deletes is not None:
+            parts.append(deletes.select(*[
+                F.col(n) if n in self.keys else F.lit(None).cast(self.schema[n].dataType).alias(n)
+                for n in names], F.lit(DELETE).alias("op")))
+        if inserts is not None:
+            parts.append(inserts.select(*names, F.lit(INSERT).alias("op")))
+        if not parts:
+            raise ValueError("nothing to commit")
+        batch = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        batch.write.mode("overwrite").parquet(f"{self.path}/rows/version={version}")
+        self._finish(version, at)
+        return version
+
+    # --- reading ---------------------------------------------------------------
+
+    def entries(self, after: int = 0, up_to: int | None = None) -> DataFrame:
+        """Ledger rows of the finished commits in ``(after, up_to]``, branch bases included."""
+        log = self._log()
+        origin = next((e for e in log if e.base_path), None)
+        first_own = origin.base_version if origin else 0
+        own = [e.version for e in log
+               if e.version > max(after, first_own) and (up_to is None or e.version <= up_to)]
+        if own:
+            paths = [f"{self.path}/rows/version={v}" for v in own]
+            rows = (self.spark.read.schema(self._stored)
+                    .option("basePath", f"{self.path}/rows").parquet(*paths))
+        else:
+            rows = self.spark.createDataFrame([], self._stored)
+        if origin and after < first_own:
+            base = Ledger(self.spark, origin.base_path, self.schema, self.keys)
+            limit = first_own if up_to is None else min(up_to, first_own)
+            rows = base.entries(after, limit).unionByName(rows)
+        return rows
+
+    def _last_states(self, entries: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+        """The latest entry of each key. Within a version an insert follows a delete."""
+        rest = [n for n in columns or self.schema.fieldNames() if n not in self.keys]
+        latest = F.max_by(F.struct(*rest, "op"), F.struct("version", "op")).alias("_last")
+        return entries.groupBy(*self.keys).agg(latest)
+
+    def snapshot(self, version: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+        """The table as of ``version``, by default now; only ``columns`` are read and moved."""
+        names = list(columns or self.schema.fieldNames())
+        last = self._last_states(self.entries(up_to=version), names)
+        return (last.filter(F.col("_last.op") == INSERT)
+                .select(*self.keys, "_last.*").select(*names))
+
+    def changes(self, after: int, up_to: int | None = None) -> DataFrame:
+        """Net difference of two states as a feed with ``action`` and ``is_update``.
+
+        An update is a DELETE row with the old and an INSERT row with the new
+        content; what came and went, or went and came back unchanged, is
+        not listed. Only entries in the range decide the new state, and older
+        entries are read for the touched keys alone.
+        """
+        names = self.schema.fieldNames()
+        recent = self._last_states(self.entries(after, up_to)).withColumnRenamed("_last", "_new")
+        touched = self.entries(after, up_to).select(*self.keys).distinct()
+        older = self.entries(0, after).join(touched, self.keys, "left_semi")
+        before = self._last_states(older).withColumnRenamed("_last", "_old")
+        sides = recent.join(before, self.keys, "left")
+
+        is_there = F.coalesce(F.col("_new.op") == INSERT, F.lit(False))
+        was_there = F.coalesce(F.col("_old.op") == INSERT, F.lit(False))
+        rest = [n for n in names if n not in self.keys]
+        same = F.struct(*[F.col(f"_new.{n}") for n in rest]).eqNullSafe(
+            F.struct(*[F.col(f"_old.{n}") for n in rest])) if rest else F.lit(True)
+
+        def side(action: str, frame: str, applies):
+            return F.when(applies, F.struct(
+                F.lit(action).alias("action"), *[F.col(f"{frame}.{n}").alias(n) for n in rest]))
+
+        feed = F.filter(F.array(side("DELETE", "_old", was_there), side("INSERT", "_new", is_there)),
+                        lambda entry: entry.isNotNull())
+        return (sides.filter((was_there | is_there) & ~(was_there & is_there & same))
+                .select(*self.keys, (was_there & is_there).alias("is_update"), F.explode(feed).alias("_e"))
+                .select(*self.keys, "_e.*", "is_update").select(*names, "action", "is_update"))
+
+    # --- branches and audit ------------------------------------------------------
+
+    def branch(self, path: str, version: int | None = None,
+               created_at: datetime | None = None) -> Ledger:
+        """A writable copy that stores its own commits only; this ledger is not touched."""
+        at = self.latest_version() if version is None else version
+        return Ledger.create(self.spark, path, self.schema, self.keys, self, at, created_at)
+
+    def audit(self) -> DataFrame:
+        """Rows per version and operation, with the range of their first key."""
+        key = self.keys[0]
+        return (self.entries().groupBy("version", "op")
+                .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("first_key"),
+                     F.max(key).alias("last_key")))
+
+
+class RefreshedTotals:
+    """A stored aggregate that takes in new batches without rereading old rows.
+
+    Each batch leaves its partial totals as one ledger version; sums and
+    counts add up, so reading adds the partials of all versions. Refreshing
+    with a batch number seen before replaces that batch.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
+                 measures: dict[str, tuple[str, str]], partial_schema: T.StructType):
+        self.keys, self.measures = list(keys), measures
+        self.ledger = Ledger(spark, path, partial_schema, keys)
+
+    @classmethod
+    def create(cls, sample: DataFrame, path: str, keys: Sequence[str],
+               measures: dict[str, tuple[str, str]]) -> RefreshedTotals:
+        """``sample`` only lends its column types."""
+        schema = totals_by(sample, keys, measures).schema
+        Ledger.create(sample.sparkSession, path, schema, keys)
+        return cls(sample.sparkSession, path, keys, measures, schema)
+
+    def refresh(self, batch: DataFrame, number: int) -> None:
+        self.ledger.commit(inserts=totals_by(batch, self.keys, self.measures), version=number)
+
+    def read(self) -> DataFrame:
+        sums = [F.sum(name).alias(name) for name in self.measures]
+        return self.ledger.entries().groupBy(*self.keys).agg(*sums)
