@@ -1,0 +1,146 @@
+"""Earlier states, change feeds, branches, stored totals and incremental loads.
+
+The ledger of orders has four commits: (1) orders up to 1998, (2) the later
+ones, (3) deletion of all pending (P) orders, (4) open (O) orders of 1995 to
+1997 turn finished (F).
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, functions as F
+
+from tallyhouse.operators.changes import restore_rows
+from tallyhouse.operators.ledger import Ledger, RefreshedTotals
+from tallyhouse.plans.registry import Warehouse, amounts, query
+from tallyhouse.session import new_table_path
+from tallyhouse.streaming.incremental import load_new_files, loaded_per_version
+
+LOADED, ARRIVED, DELETED, CLOSED = 1, 2, 3, 4
+_COLUMNS = "order_id, customer_id, sale_date, status, CAST(order_amount AS DOUBLE) AS order_amount"
+
+
+def order_ledger(w: Warehouse, commits: int) -> Ledger:
+    orders = w.orders()
+    ledger = Ledger.create(w.spark, new_table_path(w.spark, "orders-ledger"), orders.schema, ["order_id"],
+                           created_at=datetime(2026, 1, 1))
+    early = F.col("sale_date") < F.lit("1999-01-01").cast("date")
+    reopened = (F.col("status") == "O") & (F.col("sale_date") < F.lit("1998-01-01").cast("date"))
+    steps = [
+        lambda: ledger.commit(inserts=orders.filter(early), at=datetime(2026, 1, 2)),
+        lambda: ledger.commit(inserts=orders.filter(~early), at=datetime(2026, 1, 3)),
+        lambda: ledger.commit(deletes=orders.filter("status = 'P'"), at=datetime(2026, 1, 4)),
+        lambda: ledger.commit(deletes=orders.filter(reopened),
+                              inserts=orders.filter(reopened).withColumn("status", F.lit("F")),
+                              at=datetime(2026, 1, 5)),
+    ]
+    for step in steps[:commits]:
+        step()
+    return ledger
+
+
+@query(f"SELECT {_COLUMNS} FROM v_orders")
+def snapshot_as_of(w: Warehouse):
+    """The orders as they were before the deletion, found by time."""
+    ledger = order_ledger(w, DELETED)
+    return amounts(ledger.snapshot(ledger.version_at(datetime(2026, 1, 3, 12))), "order_amount")
+
+
+@query("""SELECT order_id, customer_id, sale_date, CAST(order_amount AS DOUBLE) AS order_amount,
+    CASE WHEN status = 'O' AND sale_date < DATE '1998-01-01' THEN 'F' ELSE status END AS status
+    FROM v_orders WHERE status <> 'P'""")
+def snapshot_latest(w: Warehouse):
+    return amounts(order_ledger(w, CLOSED).snapshot(), "order_amount")
+
+
+@query(f"""SELECT {_COLUMNS}, 'INSERT' AS action, FALSE AS is_update FROM v_orders
+    WHERE status <> 'P' AND sale_date >= DATE '1999-01-01' UNION ALL
+    SELECT {_COLUMNS}, 'DELETE', FALSE FROM v_orders WHERE status = 'P' AND sale_date < DATE '1999-01-01'
+    UNION ALL SELECT {_COLUMNS}, 'DELETE', TRUE FROM v_orders
+    WHERE status = 'O' AND sale_date < DATE '1998-01-01' UNION ALL
+    SELECT order_id, customer_id, sale_date, 'F', CAST(order_amount AS DOUBLE), 'INSERT', TRUE
+    FROM v_orders WHERE status = 'O' AND sale_date < DATE '1998-01-01'""")
+def change_feed(w: Warehouse):
+    """Everything since the first load; pending orders that came and went are not listed."""
+    return amounts(order_ledger(w, CLOSED).changes(after=LOADED), "order_amount")
+
+
+@query("""SELECT action, count(*) AS feed_rows FROM (SELECT 'INSERT' AS action FROM v_orders
+    WHERE status <> 'P' AND sale_date >= DATE '1999-01-01' UNION ALL
+    SELECT 'DELETE' FROM v_orders WHERE status = 'P' AND sale_date < DATE '1999-01-01') GROUP BY action""")
+def change_feed_count(w: Warehouse):
+    feed = order_ledger(w, DELETED).changes(LOADED, DELETED)
+    return feed.groupBy("action").agg(F.count(F.lit(1)).alias("feed_rows"))
+
+
+@query(f"SELECT {_COLUMNS} FROM v_orders")
+def restore_from_ledger(w: Warehouse):
+    """Deleted rows brought back from the version before the deletion."""
+    ledger = order_ledger(w, DELETED)
+    recovered = restore_rows(ledger.snapshot(), ledger.snapshot(ARRIVED), ["order_id"],
+                             F.col("status") == "P")
+    return amounts(recovered, "order_amount")
+
+
+@query("""SELECT 'base' AS side, count(*) AS orders, CAST(sum(order_amount) AS DOUBLE) AS order_amount
+    FROM v_orders UNION ALL SELECT 'branch', count(*), CAST(sum(order_amount) AS DOUBLE)
+    FROM v_orders WHERE status <> 'F'""")
+def branch_isolation(w: Warehouse):
+    """Finished orders are deleted in a branch; the base keeps them."""
+    base = order_ledger(w, ARRIVED)
+    branch = base.branch(new_table_path(w.spark, "orders-branch"))
+    branch.commit(deletes=w.orders().filter("status = 'F'"))
+
+    def summary(side: str, rows: DataFrame) -> DataFrame:
+        return rows.agg(F.count(F.lit(1)).alias("orders"), F.sum("order_amount").alias("order_amount")) \
+            .select(F.lit(side).alias("side"), "orders", "order_amount")
+
+    names = ["order_id", "order_amount"]
+    both = summary("base", base.snapshot(columns=names)).unionByName(
+        summary("branch", branch.snapshot(columns=names)))
+    return amounts(both, "order_amount")
+
+
+@query("""SELECT version, op, count(*) AS rows, min(order_id) AS first_key, max(order_id) AS last_key
+    FROM (SELECT CAST(CASE WHEN sale_date < DATE '1999-01-01' THEN 1 ELSE 2 END AS BIGINT) AS version,
+    'I' AS op, order_id FROM v_orders UNION ALL SELECT 3, 'D', order_id FROM v_orders WHERE status = 'P')
+    GROUP BY ALL""")
+def audit_trail(w: Warehouse):
+    return order_ledger(w, DELETED).audit()
+
+
+@query("""SELECT customer_id, CAST(sum(order_amount) AS DOUBLE) AS total_revenue, count(*) AS orders
+    FROM v_orders GROUP BY customer_id""")
+def refresh_aggregate(w: Warehouse):
+    """Stored customer totals, refreshed with the later orders; one refresh is repeated."""
+    orders = w.orders()
+    early = F.col("sale_date") < F.lit("1999-01-01").cast("date")
+    stored = RefreshedTotals.create(
+        orders, new_table_path(w.spark, "customer-totals"), ["customer_id"],
+        {"total_revenue": ("sum", "order_amount"), "orders": ("count", "order_id")})
+    stored.refresh(orders.filter(early), 1)
+    stored.refresh(orders.filter(~early), 2)
+    stored.refresh(orders.filter(~early), 2)
+    return amounts(stored.read(), "total_revenue")
+
+
+def _event_loads(w: Warehouse, times: int) -> Ledger:
+    source = f"{w.folder}/events.parquet*"
+    schema = w.table("events").schema
+    ledger = Ledger.create(w.spark, new_table_path(w.spark, "events-ledger"), schema, ["event_id"])
+    progress = new_table_path(w.spark, "events-progress")
+    for _ in range(times):
+        load_new_files(w.spark, source, ledger, progress)
+    return ledger
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def incremental_load(w: Warehouse):
+    """The event files as a stream into a ledger; the second call finds nothing new."""
+    return _event_loads(w, 2).snapshot()
+
+
+@query("SELECT CAST(1 AS BIGINT) AS version, count(*) AS inserted_rows FROM events")
+def incremental_load_counts(w: Warehouse):
+    return loaded_per_version(_event_loads(w, 2))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tallyhouse.operators.changes import one_per_key
 from tallyhouse.operators.dimensions import (
     add_parent, extract_lookup, flatten_dimension, normalise_dimension)
 from tallyhouse.operators.quality import key_report, orphan_counts, row_counts
@@ -104,79 +106,145 @@ def load_star(spark: SparkSession, files: Mapping[str, str], quote: str = '"',
                 loaded["dim_date"], loaded["fact_sales"])
 
 
-@dataclass(frozen=True)
 class Snowflake:
-    region: DataFrame
-    state: DataFrame
-    city: DataFrame
-    category: DataFrame
-    brand: DataFrame
-    year: DataFrame
-    quarter: DataFrame
-    month: DataFrame
-    customer: DataFrame
-    product: DataFrame
-    branch: DataFrame
-    date: DataFrame
-    sales: DataFrame
+    """The star's dimensions split into lookup chains; each part is built when first used.
+
+    Places come from customers and branches together. Every lookup is made
+    distinct on its full natural key before it is numbered, and joined back
+    on that key, so no row is multiplied or lost.
+    """
+
+    def __init__(self, star: Star, state_region: Mapping[str, str] = STATE_REGION):
+        self.star, self.state_region = star, state_region
+        self.sales = star.sales
+
+    # --- places: region, state, city -------------------------------------------------
+
+    @cached_property
+    def _states(self) -> DataFrame:
+        """Each state with its region: as the branches say, else by the fixed list."""
+        stated = one_per_key(self.star.branch.select("state", "region"), ["state"])
+        listed = F.create_map(*[F.lit(x) for pair in self.state_region.items() for x in pair])
+        return (self._places.select("state").distinct().join(stated, "state", "left")
+                .withColumn("region", F.coalesce("region", F.try_element_at(listed, F.col("state")))))
+
+    @property
+    def _places(self) -> DataFrame:
+        return self.star.branch.select("city", "state").unionByName(
+            self.star.customer.select("city", "state"))
+
+    @cached_property
+    def _region_ids(self) -> DataFrame:
+        return extract_lookup(self._states.filter("region is not null"), ["region"], "region_id")
+
+    @cached_property
+    def _state_ids(self) -> DataFrame:
+        return extract_lookup(self._states, ["state", "region"], "state_id")
+
+    @cached_property
+    def _city_ids(self) -> DataFrame:
+        return extract_lookup(self._places, ["city", "state"], "city_id")
+
+    @property
+    def region(self) -> DataFrame:
+        return self._region_ids.select("region_id", F.col("region").alias("region_name"))
+
+    @property
+    def state(self) -> DataFrame:
+        return (add_parent(self._state_ids, self._region_ids, ["region"], "region_id")
+                .select("state_id", F.col("state").alias("state_name"), "region_id"))
+
+    @property
+    def city(self) -> DataFrame:
+        return (add_parent(self._city_ids, self._state_ids, ["state"], "state_id")
+                .select("city_id", F.col("city").alias("city_name"), "state_id"))
+
+    # --- products: category, brand ---------------------------------------------------
+
+    @cached_property
+    def _category_ids(self) -> DataFrame:
+        return extract_lookup(self.star.product, ["category"], "category_id")
+
+    @cached_property
+    def _brand_ids(self) -> DataFrame:
+        return extract_lookup(self.star.product, ["brand", "category"], "brand_id")
+
+    @property
+    def category(self) -> DataFrame:
+        return self._category_ids.select("category_id", F.col("category").alias("category_name"))
+
+    @property
+    def brand(self) -> DataFrame:
+        return (add_parent(self._brand_ids, self._category_ids, ["category"], "category_id")
+                .select("brand_id", F.col("brand").alias("brand_name"), "category_id"))
+
+    # --- calendar: year, quarter, month ----------------------------------------------
+
+    @cached_property
+    def _year_ids(self) -> DataFrame:
+        return extract_lookup(self.star.date, ["year"], "year_id")
+
+    @cached_property
+    def _quarter_ids(self) -> DataFrame:
+        return extract_lookup(self.star.date, ["year", "quarter"], "quarter_id")
+
+    @cached_property
+    def _month_ids(self) -> DataFrame:
+        return extract_lookup(self.star.date, ["year", "quarter", "month"], "month_id")
+
+    @property
+    def year(self) -> DataFrame:
+        return self._year_ids.select("year_id", F.col("year").alias("year_value"))
+
+    @property
+    def quarter(self) -> DataFrame:
+        return (add_parent(self._quarter_ids, self._year_ids, ["year"], "year_id")
+                .select("quarter_id", F.col("quarter").alias("quarter_name"), "year_id"))
+
+    @property
+    def month(self) -> DataFrame:
+        return (add_parent(self._month_ids, self._quarter_ids, ["year", "quarter"], "quarter_id")
+                .select("month_id", F.col("month").alias("month_name"), "quarter_id"))
+
+    # --- dimensions that refer to the lookups ------------------------------------------
+
+    @property
+    def customer(self) -> DataFrame:
+        return normalise_dimension(self.star.customer, self._city_ids, ["city", "state"], "city_id")
+
+    @property
+    def branch(self) -> DataFrame:
+        return normalise_dimension(self.star.branch, self._city_ids, ["city", "state"], "city_id") \
+            .drop("region")
+
+    @property
+    def product(self) -> DataFrame:
+        return normalise_dimension(self.star.product, self._brand_ids, ["brand", "category"], "brand_id")
+
+    @property
+    def date(self) -> DataFrame:
+        return normalise_dimension(self.star.date, self._month_ids, ["year", "quarter", "month"],
+                                   "month_id")
+
+    # --- flattened back for reports ------------------------------------------------------
 
     def product_flat(self) -> DataFrame:
         return flatten_dimension(self.product, [(self.brand, "brand_id"), (self.category, "category_id")])
 
     def customer_flat(self) -> DataFrame:
-        return flatten_dimension(self.customer, self._places())
+        return flatten_dimension(self.customer, self._place_chain())
 
     def branch_flat(self) -> DataFrame:
-        return flatten_dimension(self.branch, self._places())
+        return flatten_dimension(self.branch, self._place_chain())
 
     def date_flat(self) -> DataFrame:
         return flatten_dimension(self.date, [(self.month, "month_id"), (self.quarter, "quarter_id"),
                                              (self.year, "year_id")])
 
-    def _places(self):
+    def _place_chain(self):
         return [(self.city, "city_id"), (self.state, "state_id"), (self.region, "region_id")]
 
-
-def build_snowflake(star: Star, state_region: Mapping[str, str] = STATE_REGION) -> Snowflake:
-    """Split the star's dimensions into lookup chains.
-
-    Places come from customers and branches together. Every lookup is made
-    distinct on its full natural key before it is numbered, and joined back
-    on that key, so no row is multiplied or lost.
-    """
-    places = star.branch.select("city", "state").unionByName(star.customer.select("city", "state"))
-    regions_named = star.branch.select("state", "region").distinct()
-    fixed = F.create_map(*[F.lit(x) for pair in state_region.items() for x in pair])
-    states_named = (places.select("state").distinct().join(regions_named, "state", "left")
-                    .withColumn("region", F.coalesce("region", F.try_element_at(fixed, F.col("state")))))
-
-    region = extract_lookup(states_named.filter("region is not null"), ["region"], "region_id")
-    state = add_parent(extract_lookup(states_named, ["state", "region"], "state_id"),
-                       region, ["region"], "region_id")
-    city_named = extract_lookup(places, ["city", "state"], "city_id")
-    city = add_parent(city_named, state, ["state"], "state_id")
-
-    category = extract_lookup(star.product, ["category"], "category_id")
-    brand_named = extract_lookup(star.product, ["brand", "category"], "brand_id")
-    brand = add_parent(brand_named, category, ["category"], "category_id")
-
-    year = extract_lookup(star.date, ["year"], "year_id")
-    quarter_named = extract_lookup(star.date, ["year", "quarter"], "quarter_id")
-    quarter = add_parent(quarter_named, year, ["year"], "year_id")
-    month_named = extract_lookup(star.date, ["year", "quarter", "month"], "month_id")
-    month = add_parent(month_named, quarter, ["year", "quarter"], "quarter_id")
-
-    return Snowflake(
-        region=region.select("region_id", F.col("region").alias("region_name")),
-        state=state.select("state_id", F.col("state").alias("state_name"), "region_id"),
-        city=city.select("city_id", F.col("city").alias("city_name"), "state_id"),
-        category=category.select("category_id", F.col("category").alias("category_name")),
-        brand=brand.select("brand_id", F.col("brand").alias("brand_name"), "category_id"),
-        year=year.select("year_id", F.col("year").alias("year_value")),
-        quarter=quarter.select("quarter_id", F.col("quarter").alias("quarter_name"), "year_id"),
-        month=month.select("month_id", F.col("month").alias("month_name"), "quarter_id"),
-        customer=normalise_dimension(star.customer, city_named, ["city", "state"], "city_id"),
-        product=normalise_dimension(star.product, brand_named, ["brand", "category"], "brand_id"),
-        branch=normalise_dimension(star.branch, city_named, ["city", "state"], "city_id").drop("region"),
-        date=normalise_dimension(star.date, month_named, ["year", "quarter", "month"], "month_id"),
-        sales=star.sales)
+    def unmatched_facts(self) -> DataFrame:
+        return orphan_counts(self.sales, {
+            "customer": (self.customer, "customer_id"), "product": (self.product, "product_id"),
+            "branch": (self.branch, "branch_id"), "date": (self.date, "date_id")})

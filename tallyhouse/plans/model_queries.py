@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import dimensions
 from tallyhouse.plans import reports
-from tallyhouse.plans.model import Snowflake, Star, build_snowflake, schema_of
+from tallyhouse.plans.model import Snowflake, Star, schema_of
 from tallyhouse.plans.registry import Warehouse, amounts, query, whole
 from tallyhouse.plans.sales_queries import SUM_LINES, SUM_ORDERS
 from tallyhouse.session import new_table_path, written
@@ -31,7 +31,7 @@ def star_of(w: Warehouse) -> Star:
 
 
 def snowflake_of(w: Warehouse) -> Snowflake:
-    return build_snowflake(star_of(w))
+    return Snowflake(star_of(w))
 
 
 # --- dates and lookups ------------------------------------------------------------
@@ -142,12 +142,11 @@ def snowflake_monthly_revenue(w: Warehouse):
         "year_value")
 
 
-@query("""SELECT 'customer' AS dimension, 0 AS unmatched_rows UNION ALL SELECT 'product', 0
+@query("""SELECT 'customer' AS dimension, CAST(0 AS BIGINT) AS unmatched_rows UNION ALL SELECT 'product', 0
     UNION ALL SELECT 'branch', 0 UNION ALL SELECT 'date', 0""")
 def snowflake_unmatched(w: Warehouse):
     """References of the facts into the split dimensions; each line should say 0."""
-    flake = snowflake_of(w)
-    return Star(flake.customer, flake.product, flake.branch, flake.date, flake.sales).unmatched_facts()
+    return snowflake_of(w).unmatched_facts()
 
 
 # --- CSV ------------------------------------------------------------------------------
