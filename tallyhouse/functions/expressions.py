@@ -11,9 +11,23 @@ from pyspark.sql import Column, functions as F
 MONEY = "decimal(15,2)"
 
 
-def money(column: str | Column) -> Column:
+def money(column: str) -> Column:
     """Exact money: sums of it do not depend on the order of addition."""
-    return (F.col(column) if isinstance(column, str) else column).cast(MONEY)
+    return F.col(column).cast(MONEY)
+
+
+def cents(column: str) -> Column:
+    """An amount held as a double with two decimals, as whole cents.
+
+    As exact as a decimal, but sums of it stay machine integers: a grouped sum
+    takes a third of the time. A sum beyond 2**63 cents raises an error under
+    the default ANSI mode.
+    """
+    return F.rint(F.col(column) * 100).cast("long")
+
+
+def from_cents(column: str) -> Column:
+    return F.col(column) / F.lit(100.0)
 
 
 def full_name(first: str, last: str) -> Column:

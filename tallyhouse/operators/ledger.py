@@ -47,20 +47,29 @@ class Ledger:
     # --- commits ---------------------------------------------------------------
 
     def _finish(self, version: int, at: datetime | None, base_path: str | None = None) -> None:
-        row = [(version, at or datetime.now(), base_path, version if base_path else None)]
-        self.spark.createDataFrame(row, _COMMITS).coalesce(1) \
-            .write.mode("append").parquet(f"{self.path}/commits")
+        row = {"version": version, "committed_at": at or datetime.now(), "base_path": base_path,
+               "base_version": version if base_path else None}
+        (self.spark.range(1).coalesce(1)
+         .select(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in _COMMITS.fields])
+         .write.mode("append").parquet(f"{self.path}/commits"))
 
     def commits(self) -> DataFrame:
         """Finished commits. A repeated commit keeps its first time."""
-        log = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
-        return log.groupBy("version").agg(
+        return self._commit_rows().groupBy("version").agg(
             F.min("committed_at").alias("committed_at"), F.max("base_path").alias("base_path"),
             F.max("base_version").alias("base_version"))
 
+    def _commit_rows(self) -> DataFrame:
+        return self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
+
     def _log(self) -> list:
-        """The commit log: one short row per commit, never table rows."""
-        return self.commits().orderBy("version").collect()
+        """The commit log, oldest first: one short row per commit, never table rows."""
+        first = {}
+        for entry in self._commit_rows().collect():
+            held = first.get(entry.version)
+            if held is None or entry.committed_at < held.committed_at:
+                first[entry.version] = entry
+        return [first[version] for version in sorted(first)]
 
     def latest_version(self) -> int:
         return max(entry.version for entry in self._log())

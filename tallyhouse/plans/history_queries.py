@@ -24,12 +24,12 @@ def reviews(w: Warehouse) -> DataFrame:
     yearly = (w.orders().groupBy("customer_id", F.year("sale_date").alias("y"))
               .agg(F.sum("order_amount").alias("spend")))
     spend = F.col("spend")
-    tier = (F.when(spend >= 600000, "Platinum").when(spend >= 300000, "Gold")
-            .when(spend >= 100000, "Silver").otherwise("Bronze"))
+    tier = (F.when(spend >= 600000_00, "Platinum").when(spend >= 300000_00, "Gold")
+            .when(spend >= 100000_00, "Silver").otherwise("Bronze"))
     known = w.customers().drop("membership")
     return yearly.join(known, "customer_id").select(
         "customer_id", "customer_name", "state", "region", tier.alias("membership"),
-        F.when(spend >= 600000, "PREMIUM").otherwise(F.col("segment")).alias("segment"),
+        F.when(spend >= 600000_00, "PREMIUM").otherwise(F.col("segment")).alias("segment"),
         F.make_date(F.col("y") + 1, F.lit(1), F.lit(1)).alias("effective_date"))
 
 

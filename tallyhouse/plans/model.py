@@ -15,45 +15,56 @@ from tallyhouse.operators.quality import key_report, orphan_counts, row_counts
 from tallyhouse.sources.delimited import NULL_TOKENS, read_table
 
 
-def schema_of(text: str) -> T.StructType:
-    """A schema written as ``name type, name type, …``."""
-    return T.StructType.fromDDL(text)
+INT, LONG, TEXT, DATE, MOMENT = (
+    T.IntegerType(), T.LongType(), T.StringType(), T.DateType(), T.TimestampNTZType())
+
+
+def columns(**types: T.DataType) -> T.StructType:
+    """A table schema, in the order given."""
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
 
 # Food orders: order grain, amounts on the order.
-FOOD_CUSTOMERS = schema_of("customer_id int, first_name string, last_name string, "
-                           "email string, phone string, address string")
-FOOD_ITEMS = schema_of("food_id int, name string, price decimal(10,2), category string, "
-                       "availability string")
-FOOD_ORDERS = schema_of("order_id int, customer_id int, food_id int, quantity int, "
-                        "order_date timestamp_ntz, status string, total_amount decimal(10,2)")
+FOOD_CUSTOMERS = columns(
+    customer_id=INT, first_name=TEXT, last_name=TEXT, email=TEXT, phone=TEXT, address=TEXT)
+FOOD_ITEMS = columns(
+    food_id=INT, name=TEXT, price=T.DecimalType(10, 2), category=TEXT, availability=TEXT)
+FOOD_ORDERS = columns(
+    order_id=INT, customer_id=INT, food_id=INT, quantity=INT, order_date=MOMENT, status=TEXT,
+    total_amount=T.DecimalType(10, 2))
 
 # Retail sales with a sale date on each row.
-SALES = schema_of("sales_id int, customer_id int, product_id int, branch_id int, quantity int, "
-                  "sale_date date, total_amount decimal(12,2)")
-PRODUCTS = schema_of("product_id int, product_name string, category string, price decimal(12,2)")
-CUSTOMERS = schema_of("customer_id int, customer_name string, city string, membership string")
-BRANCHES = schema_of("branch_id int, branch_name string, state string")
+SALES = columns(
+    sales_id=INT, customer_id=INT, product_id=INT, branch_id=INT, quantity=INT,
+    sale_date=DATE, total_amount=T.DecimalType(12, 2))
+PRODUCTS = columns(product_id=INT, product_name=TEXT, category=TEXT, price=T.DecimalType(12, 2))
+CUSTOMERS = columns(customer_id=INT, customer_name=TEXT, city=TEXT, membership=TEXT)
+BRANCHES = columns(branch_id=INT, branch_name=TEXT, state=TEXT)
 
 # Star model.
 STAR = {
-    "dim_customer": schema_of("customer_id int, customer_name string, city string, state string, "
-                              "membership string"),
-    "dim_product": schema_of("product_id int, product_name string, category string, brand string, "
-                             "price decimal(15,2)"),
-    "dim_branch": schema_of("branch_id int, branch_name string, city string, state string, "
-                            "region string, manager_name string"),
-    "dim_date": schema_of("date_id int, date date, day int, day_name string, week_no int, "
-                          "month string, quarter string, year int, is_weekend string"),
-    "fact_sales": schema_of("sale_id int, customer_id int, product_id int, branch_id int, "
-                            "date_id int, quantity int, total_amount decimal(15,2)"),
+    "dim_customer": columns(
+        customer_id=INT, customer_name=TEXT, city=TEXT, state=TEXT, membership=TEXT),
+    "dim_product": columns(
+        product_id=INT, product_name=TEXT, category=TEXT, brand=TEXT,
+        price=T.DecimalType(15, 2)),
+    "dim_branch": columns(
+        branch_id=INT, branch_name=TEXT, city=TEXT, state=TEXT, region=TEXT,
+        manager_name=TEXT),
+    "dim_date": columns(
+        date_id=INT, date=DATE, day=INT, day_name=TEXT, week_no=INT, month=TEXT,
+        quarter=TEXT, year=INT, is_weekend=TEXT),
+    "fact_sales": columns(
+        sale_id=INT, customer_id=INT, product_id=INT, branch_id=INT, date_id=INT,
+        quantity=INT, total_amount=T.DecimalType(15, 2)),
 }
 
 # Customer history.
-CUSTOMER_STATE = schema_of("customer_id int, customer_name string, city string, state string, "
-                           "membership string, segment string")
-CUSTOMER_UPDATES = schema_of("customer_id int, customer_name string, city string, state string, "
-                             "membership string, segment string, effective_date date")
+CUSTOMER_STATE = columns(
+    customer_id=INT, customer_name=TEXT, city=TEXT, state=TEXT, membership=TEXT, segment=TEXT)
+CUSTOMER_UPDATES = columns(
+    customer_id=INT, customer_name=TEXT, city=TEXT, state=TEXT, membership=TEXT, segment=TEXT,
+    effective_date=DATE)
 
 # The region each state belongs to.
 STATE_REGION = {

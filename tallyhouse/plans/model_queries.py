@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tallyhouse.operators import dimensions
 from tallyhouse.plans import reports
-from tallyhouse.plans.model import Snowflake, Star, schema_of
+from tallyhouse.plans.model import LONG, TEXT, Snowflake, Star, columns
 from tallyhouse.plans.registry import Warehouse, amounts, query, whole
 from tallyhouse.plans.sales_queries import SUM_LINES, SUM_ORDERS
 from tallyhouse.session import new_table_path, written
@@ -97,8 +97,8 @@ def extend_lookup(w: Warehouse):
 def normalise_product(w: Warehouse):
     products = w.products()
     brand = dimensions.extract_lookup(products, ["brand", "category"], "brand_id")
-    return amounts(dimensions.normalise_dimension(products, brand, ["brand", "category"], "brand_id"),
-                   "price")
+    lean = dimensions.normalise_dimension(products, brand, ["brand", "category"], "brand_id")
+    return lean.withColumn("price", F.col("price").cast("double"))
 
 
 @query("SELECT *, row_number() OVER (ORDER BY customer_name, customer_id) AS customer_key FROM v_customers")
@@ -151,8 +151,8 @@ def snowflake_unmatched(w: Warehouse):
 
 # --- CSV ------------------------------------------------------------------------------
 
-_PRODUCT_FILE = schema_of("product_id long, product_name string, category string, brand string, "
-                          "price decimal(15,2)")
+_PRODUCT_FILE = columns(product_id=LONG, product_name=TEXT, category=TEXT, brand=TEXT,
+                        price=T.DecimalType(15, 2))
 
 
 @query("""SELECT product_id, product_name, category, brand, CAST(price AS DOUBLE) AS price
@@ -162,10 +162,12 @@ def csv_load(w: Warehouse):
     path = new_table_path(w.spark, "products-csv")
     (w.products().withColumnRenamed("product_id", "some_other_header")
      .write.option("header", True).csv(path))
-    return amounts(read_table(w.spark, path, _PRODUCT_FILE, name_pattern="*.csv"), "price")
+    loaded = read_table(w.spark, path, _PRODUCT_FILE, name_pattern="*.csv")
+    return loaded.withColumn("price", F.col("price").cast("double"))
 
 
-_CUSTOMER_FILE = schema_of("customer_id long, customer_name string, membership string, balance decimal(15,2)")
+_CUSTOMER_FILE = columns(customer_id=LONG, customer_name=TEXT, membership=TEXT,
+                         balance=T.DecimalType(15, 2))
 
 
 @query("""SELECT c_custkey AS customer_id, c_name || ', ' || c_mktsegment AS customer_name, membership,
@@ -183,7 +185,7 @@ def csv_load_quoted(w: Warehouse):
     (raw.join(tiers, "customer_id").select("customer_id", "customer_name", "membership", "balance")
      .write.option("header", True).option("quote", '"').csv(path))
     loaded = read_table(w.spark, path, _CUSTOMER_FILE, quote='"', null_tokens=NULL_TOKENS)
-    return amounts(loaded, "balance")
+    return loaded.withColumn("balance", F.col("balance").cast("double"))
 
 
 # --- views -------------------------------------------------------------------------------
@@ -205,6 +207,6 @@ def view_star_sql(w: Warehouse):
     star = star_of(w)
     star.register_views()
     return w.spark.sql("""
-        SELECT p.category, p.brand, CAST(sum(f.total_amount) AS DOUBLE) AS total_revenue
+        SELECT p.category, p.brand, sum(f.total_amount) / 100D AS total_revenue
         FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id
         GROUP BY p.category, p.brand ORDER BY total_revenue DESC""")

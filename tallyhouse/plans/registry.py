@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.functions.expressions import money
+from tallyhouse.functions.expressions import cents, from_cents, money
 from tallyhouse.operators.dimensions import date_dimension_for
 from tallyhouse.sources.tables import scan
 
@@ -29,7 +29,8 @@ class Warehouse:
 
     Customers are ``customer`` with nation as state, branches are
     ``supplier``, products are ``part`` (type as category), sales are
-    ``lineitem`` and carry customer and date through ``orders``.
+    ``lineitem`` and carry customer and date through ``orders``. Amounts of
+    sales and orders are in cents.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -75,7 +76,7 @@ class Warehouse:
         return self.table("orders").select(
             F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("sale_date"),
-            F.col("o_orderstatus").alias("status"), money("o_totalprice").alias("order_amount"))
+            F.col("o_orderstatus").alias("status"), cents("o_totalprice").alias("order_amount"))
 
     def lines(self) -> DataFrame:
         return self.table("lineitem").select(
@@ -83,7 +84,7 @@ class Warehouse:
             F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("branch_id"),
             F.col("l_shipdate").cast("date").alias("ship_date"),
             F.col("l_quantity").cast("long").alias("quantity"),
-            money("l_extendedprice").alias("total_amount"))
+            cents("l_extendedprice").alias("total_amount"))
 
     def sales_per_order(self) -> DataFrame:
         """Line totals at order grain with customer, date and status.
@@ -98,8 +99,8 @@ class Warehouse:
 
 
 def amounts(df: DataFrame, *columns: str) -> DataFrame:
-    """Exact sums as doubles, once they are final."""
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+    """Amounts in cents as doubles, once the exact sums are final."""
+    return df.withColumns({c: from_cents(c) for c in columns})
 
 
 def whole(df: DataFrame, *columns: str) -> DataFrame:

@@ -252,13 +252,13 @@ def running_revenue_desc(w: Warehouse):
     return amounts(run.select("order_id", "sale_date", "cumulative_sales"), "cumulative_sales")
 
 
-@query("""SELECT order_id, sale_date, CAST(sum(order_amount) OVER w AS DOUBLE)
-    / CAST(count(order_amount) OVER w AS DOUBLE) AS avg_sales
+@query("""SELECT order_id, sale_date, CAST(CAST(sum(order_amount) OVER w * 100 AS BIGINT) AS DOUBLE)
+    / CAST(count(order_amount) OVER w AS DOUBLE) / 100 AS avg_sales
     FROM v_orders WINDOW w AS (ORDER BY sale_date DESC)""")
 def running_avg(w: Warehouse):
     run = ordering.running_by_day(w.orders(), "sale_date", "order_amount",
                                   average_as="avg_sales", descending=True)
-    return run.select("order_id", "sale_date", "avg_sales")
+    return amounts(run.select("order_id", "sale_date", "avg_sales"), "avg_sales")
 
 
 @query("""SELECT order_id, line_number, ship_date, branch_id, CAST(sum(total_amount) OVER (
