@@ -81,12 +81,17 @@ def _with_replaced(df: DataFrame, column: str, by: Mapping[str, Column]) -> Data
 
 def _placed(current: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
             last_by: Sequence[str]) -> DataFrame:
-    """Changes, one per key and day, beside the state (``_base``) they meet."""
+    """Changes, one per key and day, beside the state (``_base``) they meet.
+
+    The dimension is cut to the changed keys by a semi join, which needs no
+    shuffle of the dimension when the batch is small.
+    """
     changes = one_per_key(updates.select(key, *tracked, "effective_date", *last_by),
                           [key, "effective_date"], last_by)
     base = current.select(key, F.col("effective_date").alias("_since"),
                           F.struct(*tracked).alias("_base"))
-    return changes.join(base, key, "left")
+    met = base.join(updates.select(key).distinct(), key, "left_semi")
+    return changes.join(met, key, "left")
 
 
 def late_changes(dimension: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],

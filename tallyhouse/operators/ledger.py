@@ -134,6 +134,19 @@ class Ledger:
         return (last.filter(F.col("_last.op") == INSERT)
                 .select(*self.keys, "_last.*").select(*names))
 
+    def live_keys(self, version: int | None = None, among: DataFrame | None = None) -> DataFrame:
+        """Keys of the rows present as of ``version``, if given only those found in ``among``.
+
+        Version and operation fit one number, which keeps this a hash
+        aggregation over the keys alone.
+        """
+        moment = (F.col("version") * 2 + (F.col("op") == INSERT).cast("long")).alias("_moment")
+        entries = self.entries(up_to=version).select(*self.keys, moment)
+        if among is not None:
+            entries = entries.join(among.select(*self.keys), self.keys, "left_semi")
+        last = entries.groupBy(*self.keys).agg(F.max("_moment").alias("_moment"))
+        return last.filter(F.col("_moment") % 2 == 1).select(*self.keys)
+
     def changes(self, after: int, up_to: int | None = None) -> DataFrame:
         """Net difference of two states as a feed with ``action`` and ``is_update``.
 

@@ -78,8 +78,8 @@ def running_by_day(df: DataFrame, day: str, value: str, total_as: str | None = N
     """Running sum and average over a DATE column, every row kept.
 
     Rows are folded to one per calendar day first. The number of days is
-    bounded by the calendar and not by the data, so the prefix sum over days
-    may be a plain window.
+    bounded by the calendar (36,525 in a century) and not by the data, so the
+    prefix sum over days may be a plain window and its result a broadcast.
     """
     if dict(df.dtypes)[day] != "date":
         raise TypeError(f"{day} must be a date column; use running_total for other types")
@@ -92,7 +92,7 @@ def running_by_day(df: DataFrame, day: str, value: str, total_as: str | None = N
         outputs.append(run.alias(total_as))
     if average_as:
         outputs.append(F.when(seen > 0, run.cast("double") / seen.cast("double")).alias(average_as))
-    return join_on_same(df, days.select(day, *outputs), [day])
+    return join_on_same(df, F.broadcast(days.select(day, *outputs)), [day])
 
 
 def rank_all(df: DataFrame, by: str, rank_as: str = "rank") -> DataFrame:
@@ -138,7 +138,8 @@ def numbered(df: DataFrame, order: Sequence[str], within: Sequence[str] = (),
              number_as: str = "row_number", after: int = 0) -> DataFrame:
     """Gapless ``row_number()`` in the given order, per group if ``within`` is set.
 
-    The place of a row in its sorted range comes from the generated row id;
+    ``within`` and ``order`` together must tell all rows apart. The place of a
+    row in its sorted range comes from the generated row id;
     the group's rows in earlier ranges are added. A big group spans many
     ranges, so the join on (range, group) is spread as evenly as the ranges.
     """

@@ -194,7 +194,7 @@ def csv_load_quoted(w: Warehouse):
     JOIN v_customers USING (customer_id) GROUP BY ALL""")
 def view_customer_sales(w: Warehouse):
     """A named view over a report, sorted where it is read."""
-    report = reports.revenue_per_entity(w.orders(), w.customers(), "customer_id", ["customer_name"],
+    report = reports.revenue_per_entity(w.orders(), w.customer_names(), "customer_id", ["customer_name"],
                                         {"total_revenue": ("sum", "order_amount")}, [])
     report.createOrReplaceTempView("customer_sales_report")
     ordered = w.spark.sql("SELECT * FROM customer_sales_report ORDER BY total_revenue DESC, customer_id")

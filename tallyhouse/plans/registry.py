@@ -40,11 +40,21 @@ class Warehouse:
         return scan(self.spark, self.folder, name, columns)
 
     def _placed(self, df: DataFrame, nation_key: str) -> DataFrame:
+        """Nation and region are put together first, so the big table meets one small one."""
         nation = self.table("nation").select(
             F.col("n_nationkey").alias(nation_key), F.col("n_name").alias("state"), "n_regionkey")
         region = self.table("region").select(
             F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
-        return df.join(nation, nation_key).join(region, "n_regionkey").drop(nation_key, "n_regionkey")
+        return df.join(nation.join(region, "n_regionkey").drop("n_regionkey"), nation_key)
+
+    def customer_names(self) -> DataFrame:
+        return self.table("customer").select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"))
+
+    def branch_names(self) -> DataFrame:
+        return self.table("supplier").select(
+            F.col("s_suppkey").alias("branch_id"), F.col("s_name").alias("branch_name"),
+            money("s_acctbal").alias("balance"))
 
     def customers(self) -> DataFrame:
         balance = F.col("c_acctbal")

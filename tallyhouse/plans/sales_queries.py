@@ -38,7 +38,7 @@ def status_revenue(w: Warehouse):
     JOIN v_customers USING (customer_id) GROUP BY ALL""")
 def customer_revenue(w: Warehouse):
     return amounts(reports.revenue_per_entity(
-        w.sales_per_order(), w.customers(), "customer_id", ["customer_name"], LINE_SALES), "total_revenue")
+        w.sales_per_order(), w.customer_names(), "customer_id", ["customer_name"], LINE_SALES), "total_revenue")
 
 
 @query(f"""SELECT product_id, product_name, {SUM_LINES} FROM v_lines
@@ -52,7 +52,7 @@ def product_revenue(w: Warehouse):
     JOIN v_branches USING (branch_id) GROUP BY ALL""")
 def branch_revenue(w: Warehouse):
     return amounts(reports.revenue_per_entity(
-        w.lines(), w.branches(), "branch_id", ["branch_name"]), "total_revenue")
+        w.lines(), w.branch_names(), "branch_id", ["branch_name"]), "total_revenue")
 
 
 @query(f"SELECT category, {SUM_LINES} FROM v_lines JOIN v_products USING (product_id) GROUP BY ALL")
@@ -149,7 +149,7 @@ def daily_trend(w: Warehouse):
 def purchase_trend(w: Warehouse):
     dates = w.dates().withColumn("sale_date", F.col("date"))
     report = reports.purchase_trend(
-        w.sales_per_order(), w.customers(), dates, "customer_id", "sale_date", ["customer_name"],
+        w.sales_per_order(), w.customer_names(), dates, "customer_id", "sale_date", ["customer_name"],
         ["year", "month"], {"purchases": ("sum", "line_count"), **LINE_SALES})
     return whole(amounts(report, "total_revenue"), "year")
 
@@ -160,7 +160,7 @@ def purchase_trend(w: Warehouse):
     JOIN v_customers USING (customer_id) GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 10""")
 def top10_customers(w: Warehouse):
     return amounts(reports.top_sellers(
-        w.sales_per_order(), w.customers(), "customer_id", ["customer_name"], 10), "total_revenue")
+        w.sales_per_order(), w.customer_names(), "customer_id", ["customer_name"], 10), "total_revenue")
 
 
 @query(f"""SELECT product_id, product_name, {SUM_LINES} FROM v_lines
@@ -174,21 +174,21 @@ def top10_products(w: Warehouse):
     JOIN v_branches USING (branch_id) GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 10""")
 def top10_branches(w: Warehouse):
     return amounts(reports.top_sellers(
-        w.lines(), w.branches(), "branch_id", ["branch_name"], 10), "total_revenue")
+        w.lines(), w.branch_names(), "branch_id", ["branch_name"], 10), "total_revenue")
 
 
 @query(f"""SELECT branch_id, branch_name, {SUM_LINES} FROM v_lines
     JOIN v_branches USING (branch_id) GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 1""")
 def top1_branch(w: Warehouse):
     return amounts(reports.top_sellers(
-        w.lines(), w.branches(), "branch_id", ["branch_name"], 1), "total_revenue")
+        w.lines(), w.branch_names(), "branch_id", ["branch_name"], 1), "total_revenue")
 
 
 @query(f"""SELECT customer_id, customer_name, {SUM_ORDERS} FROM v_orders
     JOIN v_customers USING (customer_id) GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 1""")
 def top1_customer(w: Warehouse):
     return amounts(reports.top_sellers(
-        w.orders(), w.customers(), "customer_id", ["customer_name"], 1, ORDER_SALES), "total_revenue")
+        w.orders(), w.customer_names(), "customer_id", ["customer_name"], 1, ORDER_SALES), "total_revenue")
 
 
 @query(f"""SELECT *, rank() OVER (ORDER BY total_revenue DESC) AS rank FROM (
@@ -196,7 +196,7 @@ def top1_customer(w: Warehouse):
     JOIN v_customers USING (customer_id) GROUP BY ALL)""")
 def customer_rank(w: Warehouse):
     return amounts(reports.ranked(
-        w.orders(), w.customers(), "customer_id", ["customer_name"], ORDER_SALES), "total_revenue")
+        w.orders(), w.customer_names(), "customer_id", ["customer_name"], ORDER_SALES), "total_revenue")
 
 
 @query(f"""SELECT *, rank() OVER (ORDER BY total_revenue DESC) AS rank FROM (
@@ -204,14 +204,14 @@ def customer_rank(w: Warehouse):
     JOIN v_branches USING (branch_id) GROUP BY ALL)""")
 def branch_rank(w: Warehouse):
     return amounts(reports.ranked(
-        w.lines(), w.branches(), "branch_id", ["branch_name"]), "total_revenue")
+        w.lines(), w.branch_names(), "branch_id", ["branch_name"]), "total_revenue")
 
 
 @query("""SELECT *, rank() OVER (ORDER BY purchases DESC) AS rank FROM (
     SELECT customer_id, customer_name, count(*) AS purchases FROM v_orders
     JOIN v_customers USING (customer_id) GROUP BY ALL) QUALIFY rank <= 3""")
 def top3_ranks_with_ties(w: Warehouse):
-    return reports.ranked(w.orders(), w.customers(), "customer_id", ["customer_name"],
+    return reports.ranked(w.orders(), w.customer_names(), "customer_id", ["customer_name"],
                           {"purchases": ("count", "order_id")}, "purchases", 3)
 
 
@@ -277,7 +277,7 @@ def running_revenue_per_branch(w: Warehouse):
     HAVING sum(order_amount) > (SELECT avg(order_amount) FROM v_orders)""")
 def customers_above_avg_txn(w: Warehouse):
     return amounts(reports.above_average_sale(
-        w.orders(), w.customers(), "customer_id", ["customer_name"], "order_amount"), "total_revenue")
+        w.orders(), w.customer_names(), "customer_id", ["customer_name"], "order_amount"), "total_revenue")
 
 
 @query(f"""SELECT * FROM (SELECT customer_id, customer_name, {SUM_ORDERS} FROM v_orders
@@ -286,14 +286,14 @@ def customers_above_avg_txn(w: Warehouse):
     GROUP BY customer_id))""")
 def customers_above_avg_customer(w: Warehouse):
     return amounts(reports.above_average_entity(
-        w.orders(), w.customers(), "customer_id", ["customer_name"], "order_amount"), "total_revenue")
+        w.orders(), w.customer_names(), "customer_id", ["customer_name"], "order_amount"), "total_revenue")
 
 
 @query("""SELECT customer_id, customer_name, count(order_id) AS purchases FROM v_orders
     JOIN v_customers USING (customer_id) GROUP BY ALL""")
 def purchase_frequency(w: Warehouse):
     return reports.purchase_frequency(
-        w.orders(), w.customers(), "customer_id", ["customer_name"], "order_id")
+        w.orders(), w.customer_names(), "customer_id", ["customer_name"], "order_id")
 
 
 @query("""SELECT c.customer_id, c.customer_name, count(o.order_id) AS purchases FROM v_customers c
@@ -301,7 +301,7 @@ def purchase_frequency(w: Warehouse):
     ON o.customer_id = c.customer_id GROUP BY ALL""")
 def purchase_frequency_all(w: Warehouse):
     recent = w.orders().filter((F.col("status") == "P") & after_day("sale_date", "2000-12-31"))
-    return reports.purchase_frequency_all(recent, w.customers(), "customer_id", ["customer_name"])
+    return reports.purchase_frequency_all(recent, w.customer_names(), "customer_id", ["customer_name"])
 
 
 @query("""SELECT order_id, customer_id, status, CAST(order_amount AS DOUBLE) AS order_amount
@@ -318,7 +318,7 @@ def orders_after_date(w: Warehouse):
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("sale_date"), F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("order_amount"))
-    names = w.customers().select("customer_id", "customer_name")
+    names = w.customer_names()
     return late.join(names, "customer_id").select(
         "order_id", "customer_name", "sale_date", "status", "order_amount")
 
@@ -364,7 +364,7 @@ def duplicate_keys(w: Warehouse):
     (SELECT branch_id FROM v_branches WHERE balance >= 0)""")
 def orphan_rows(w: Warehouse):
     """Sales of branches that are not in good standing."""
-    solvent = w.branches().filter("balance >= 0")
+    solvent = w.branch_names().filter("balance >= 0")
     return (quality.orphan_rows(w.lines(), solvent, "branch_id")
             .select("order_id", "line_number", "product_id", "branch_id"))
 
@@ -378,7 +378,7 @@ def orphan_rows(w: Warehouse):
 def orphan_counts(w: Warehouse):
     """Sales outside each restricted dimension."""
     return quality.orphan_counts(w.lines(), {
-        "branch": (w.branches().filter("balance >= 0"), "branch_id"),
+        "branch": (w.branch_names().filter("balance >= 0"), "branch_id"),
         "product": (w.products().filter("price >= 1000"), "product_id"),
         "order": (w.orders().filter("status <> 'P'"), "order_id")})
 
@@ -390,7 +390,7 @@ def orphan_counts(w: Warehouse):
 def reference_report(w: Warehouse):
     """Every declared reference of the sales; each line should say 0."""
     return quality.orphan_counts(w.lines(), {
-        "product": (w.products(), "product_id"), "branch": (w.branches(), "branch_id"),
+        "product": (w.products(), "product_id"), "branch": (w.branch_names(), "branch_id"),
         "order": (w.orders(), "order_id")})
 
 

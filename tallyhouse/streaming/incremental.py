@@ -14,7 +14,7 @@ def merge_batch(ledger: Ledger, batch: DataFrame, version: int) -> None:
     The version's own rows are left out of the comparison, so a batch that is
     replayed after a failure writes the same partition again.
     """
-    held = ledger.snapshot(version - 1, ledger.keys)
+    held = ledger.live_keys(version - 1, among=batch)
     ledger.commit(inserts=new_rows(held, batch, ledger.keys), version=version)
 
 
