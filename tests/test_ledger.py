@@ -1,0 +1,119 @@
+"""Ledger, stored totals and incremental loads."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.operators.ledger import Ledger, RefreshedTotals
+from tallyhouse.session import new_table_path
+from tallyhouse.streaming.incremental import load_new_files, loaded_per_version, merge_batch
+
+SCHEMA = "id int, v string"
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.fixture()
+def ledger(spark):
+    made = Ledger.create(spark, new_table_path(spark, "t"), frame(spark, (0, "")).schema, ["id"],
+                         created_at=datetime(2026, 1, 1))
+    made.commit(inserts=frame(spark, (1, "a"), (2, "b"), (3, None)), at=datetime(2026, 1, 2))
+    made.commit(deletes=frame(spark, (1, None), (2, None)), inserts=frame(spark, (2, "B")), at=datetime(2026, 1, 3))
+    made.commit(inserts=frame(spark, (1, "a"), (4, "d")), at=datetime(2026, 1, 4))
+    return made
+
+
+def test_snapshots(ledger):
+    assert rows(ledger.snapshot(0)) == []
+    assert rows(ledger.snapshot(1)) == [(1, "a"), (2, "b"), (3, None)]
+    assert rows(ledger.snapshot(2)) == [(2, "B"), (3, None)]
+    assert rows(ledger.snapshot()) == [(1, "a"), (2, "B"), (3, None), (4, "d")]
+    assert rows(ledger.live_keys(2)) == [(2,), (3,)]
+    assert ledger.version_at(datetime(2026, 1, 3, 12)) == 2
+    with pytest.raises(ValueError):
+        ledger.version_at(datetime(2025, 1, 1))
+
+
+def test_feed_adds_up(ledger):
+    for first in range(4):
+        for last in range(first, 4):
+            before, after = set(rows(ledger.snapshot(first))), set(rows(ledger.snapshot(last)))
+            feed = ledger.changes(first, last).collect()
+            assert {(r.id, r.v) for r in feed if r.action == "DELETE"} == before - after
+            assert {(r.id, r.v) for r in feed if r.action == "INSERT"} == after - before
+    updates = ledger.changes(1, 2).filter("is_update")
+    assert rows(updates.select("id", "v", "action")) == [(2, "B", "INSERT"), (2, "b", "DELETE")]
+    assert {r.id for r in ledger.changes(1, 3).collect()} == {2, 4}
+
+
+def test_unfinished_commit_is_not_seen(spark, ledger):
+    rows_only = frame(spark, (9, "z")).withColumn("op", F.lit("I"))
+    rows_only.write.parquet(f"{ledger.path}/rows/version=9")
+    assert ledger.latest_version() == 3
+    assert ledger.snapshot().filter("id = 9").count() == 0
+
+
+def test_repeated_commit_replaces(spark, ledger):
+    ledger.commit(inserts=frame(spark, (5, "e")), version=4)
+    ledger.commit(inserts=frame(spark, (5, "e")), version=4)
+    assert ledger.entries(3).count() == 1
+
+
+def test_branch_of_branch(spark, ledger):
+    one = ledger.branch(new_table_path(spark, "b1"), 2)
+    one.commit(inserts=frame(spark, (7, "g")))
+    two = one.branch(new_table_path(spark, "b2"))
+    two.commit(deletes=frame(spark, (3, None)))
+    assert rows(one.snapshot()) == [(2, "B"), (3, None), (7, "g")]
+    assert rows(two.snapshot()) == [(2, "B"), (7, "g")]
+    assert rows(ledger.snapshot()) == [(1, "a"), (2, "B"), (3, None), (4, "d")]
+    assert rows(two.changes(2).select("id", "action")) == [(3, "DELETE"), (7, "INSERT")]
+
+
+def test_audit(ledger):
+    assert rows(ledger.audit()) == [
+        (1, "I", 3, 1, 3), (2, "D", 2, 1, 2), (2, "I", 1, 2, 2), (3, "I", 2, 1, 4)]
+
+
+def test_stored_totals(spark):
+    sales = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    stored = RefreshedTotals.create(sales, new_table_path(spark, "sums"), ["k"],
+                                    {"total": ("sum", "v"), "n": ("count", "v")})
+    stored.refresh(sales, 1)
+    stored.refresh(sales.filter("k = 'b'"), 2)
+    stored.refresh(sales.filter("k = 'b'"), 2)
+    assert rows(stored.read()) == [("a", 3, 2), ("b", 6, 2)]
+
+
+def test_batches_are_idempotent(spark, ledger):
+    batch = frame(spark, (4, "other"), (8, "h"), (8, "i"))
+    merge_batch(ledger, batch, 4)
+    once = rows(ledger.snapshot())
+    merge_batch(ledger, batch, 4)
+    assert rows(ledger.snapshot()) == once == [
+        (1, "a"), (2, "B"), (3, None), (4, "d"), (8, "i")]
+    merge_batch(ledger, batch, 5)
+    assert rows(ledger.snapshot()) == once
+
+
+def test_only_new_files_are_loaded(spark, tmp_path):
+    schema = frame(spark, (0, "")).schema
+    ledger = Ledger.create(spark, new_table_path(spark, "stream"), schema, ["id"])
+    source, progress = str(tmp_path / "in"), str(tmp_path / "progress")
+    load = lambda: load_new_files(
+        spark, source, ledger, progress, file_format="csv", options={"header": "true"})
+    frame(spark, (1, "a"), (2, "b")).coalesce(1).write.option("header", True).csv(source)
+    load()
+    load()
+    assert rows(ledger.snapshot()) == [(1, "a"), (2, "b")]
+    frame(spark, (2, "again"), (3, "c")).coalesce(1).write.mode("append").option("header", True).csv(source)
+    load()
+    assert rows(ledger.snapshot()) == [(1, "a"), (2, "b"), (3, "c")]
+    assert [tuple(r) for r in loaded_per_version(ledger).orderBy("version").collect()] == [(1, 2), (2, 1)]
