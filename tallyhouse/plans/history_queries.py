@@ -9,11 +9,15 @@ membership was unknown (NULL) before.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.operators import changes, history
 from tallyhouse.operators.dimensions import assign_keys
 from tallyhouse.plans.registry import Warehouse, amounts, query
+from tallyhouse.session import new_table_path
+from tallyhouse.sources.tables import append_rows, literal_rows, replace_rows
 
 TRACKED = ["customer_name", "state", "region", "membership", "segment"]
 COMPARED = ["state", "region", "membership", "segment"]
@@ -21,6 +25,11 @@ START = "1995-01-01"
 
 
 def reviews(w: Warehouse) -> DataFrame:
+    """The staging table of changes."""
+    return w.staged("reviews", lambda: _yearly_reviews(w))
+
+
+def _yearly_reviews(w: Warehouse) -> DataFrame:
     yearly = (w.orders().groupBy("customer_id", F.year("sale_date").alias("y"))
               .agg(F.sum("order_amount").alias("spend")))
     spend = F.col("spend")
@@ -34,7 +43,29 @@ def reviews(w: Warehouse) -> DataFrame:
 
 
 def last_reviews(w: Warehouse) -> DataFrame:
-    return changes.one_per_key(reviews(w), ["customer_id"], ["effective_date"])
+    return changes.one_per_key(_yearly_reviews(w), ["customer_id"], ["effective_date"])
+
+
+# --- writes -------------------------------------------------------------------------------
+
+@query("""SELECT order_id, customer_id, sale_date, status, CAST(order_amount AS DOUBLE) AS order_amount
+    FROM v_orders UNION ALL SELECT -1, -1, DATE '2002-01-01', 'X', 240.0""")
+def insert_select(w: Warehouse):
+    """A table filled by two appended selections and one row of literals."""
+    orders, path = w.orders(), new_table_path(w.spark, "orders")
+    append_rows(orders.filter("status = 'P'"), path)
+    append_rows(orders.filter("status <> 'P'"), path)
+    append_rows(literal_rows(w.spark, [(-1, -1, date(2002, 1, 1), "X", 240_00)], orders.schema), path)
+    return amounts(w.spark.read.schema(orders.schema).parquet(path), "order_amount")
+
+
+@query("""SELECT order_id, customer_id, sale_date, status, CAST(order_amount AS DOUBLE) AS order_amount
+    FROM v_orders WHERE status = 'F'""")
+def truncate_reload(w: Warehouse):
+    orders, path = w.orders(), new_table_path(w.spark, "orders")
+    append_rows(orders.filter("status <> 'F'"), path)
+    replace_rows(orders.filter("status = 'F'"), path)
+    return amounts(w.spark.read.schema(orders.schema).parquet(path), "order_amount")
 
 
 # --- merge, delete, restore -----------------------------------------------------------
@@ -111,6 +142,7 @@ _PERIOD = "effective_date, expiry_date, is_current"
 
 
 def versions(w: Warehouse) -> DataFrame:
+    """The dimension after one batch."""
     return history.apply_versions(history.start_versions(w.customers(), START), reviews(w),
                                   "customer_id", TRACKED)
 
@@ -149,17 +181,21 @@ def scd2_counts(w: Warehouse):
     return history.version_counts(versions(w))
 
 
+def stored_versions(w: Warehouse) -> DataFrame:
+    return w.staged("versions", lambda: versions(w))
+
+
 @query("""SELECT u.*, c.effective_date AS current_since FROM v_reviews u JOIN v_versions c
     ON c.customer_id = u.customer_id AND c.is_current AND u.effective_date <= c.effective_date""")
 def scd2_late_changes(w: Warehouse):
     """The same batch again: what lies before the current versions is reported."""
-    return history.late_changes(versions(w), reviews(w), "customer_id", TRACKED)
+    return history.late_changes(stored_versions(w), reviews(w), "customer_id", TRACKED)
 
 
 @query(f"SELECT {_STATE}, {_PERIOD} FROM v_versions")
 def scd2_replay(w: Warehouse):
     """Applying a batch twice gives what applying it once gives."""
-    return history.apply_versions(versions(w), reviews(w), "customer_id", TRACKED)
+    return history.apply_versions(stored_versions(w), reviews(w), "customer_id", TRACKED)
 
 
 @query("""SELECT customer_id, effective_date, CASE WHEN effective_date = DATE '1995-01-01'

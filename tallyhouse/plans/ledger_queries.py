@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.operators.changes import restore_rows
 from tallyhouse.operators.ledger import Ledger, RefreshedTotals
 from tallyhouse.plans.registry import Warehouse, amounts, query
+from tallyhouse.plans.reports import first_rows
 from tallyhouse.session import new_table_path
 from tallyhouse.streaming.incremental import load_new_files, loaded_per_version
 
@@ -125,6 +126,17 @@ def refresh_aggregate(w: Warehouse):
     return amounts(stored.read(), "total_revenue")
 
 
+@query("""SELECT customer_id, CAST(sum(order_amount) AS DOUBLE) AS total_revenue FROM v_orders
+    GROUP BY customer_id ORDER BY 2 DESC, 1 LIMIT 1""")
+def stored_top_customer(w: Warehouse):
+    """The head of a stored aggregate, sorted where it is read."""
+    orders = w.orders()
+    stored = RefreshedTotals.create(orders, new_table_path(w.spark, "top-customers"), ["customer_id"],
+                                    {"total_revenue": ("sum", "order_amount")})
+    stored.refresh(orders, 1)
+    return amounts(first_rows(stored.read(), ["-total_revenue", "customer_id"], 1), "total_revenue")
+
+
 def _event_loads(w: Warehouse, times: int) -> Ledger:
     source = f"{w.folder}/events.parquet*"
     schema = w.table("events").schema

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.expressions import cents, from_cents, money
 from tallyhouse.operators.dimensions import date_dimension_for
+from tallyhouse.session import written
 from tallyhouse.sources.tables import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,9 +36,20 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-
-    def table(self, name: str, *columns: str) -> DataFrame:
-        return scan(self.spark, self.folder, name, columns)
+        self._scans: dict[str, DataFrame] = {}
+        self._staged: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        """The table; its files are listed and their schema read once per query."""
+        if name not in self._scans:
+            self._scans[name] = scan(self.spark, self.folder, name)
+        return self._scans[name]
+
+    def staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that a query reads more than once, stored on first use."""
+        if name not in self._staged:
+            self._staged[name] = written(build(), name)
+        return self._staged[name]
 
     def _placed(self, df: DataFrame, nation_key: str) -> DataFrame:
         """Nation and region are put together first, so the big table meets one small one."""

@@ -29,6 +29,13 @@ def total_revenue(w: Warehouse):
     return amounts(reports.revenue(w.lines(), both), "total_revenue")
 
 
+@query("""SELECT count(*) AS sales, CAST(sum(CAST(order_amount * 100 AS BIGINT)) AS DOUBLE)
+    / count(*) / 100 AS average_sale FROM v_orders""")
+def average_sale(w: Warehouse):
+    both = w.orders().agg(F.count(F.lit(1)).alias("sales"), F.avg("order_amount").alias("average_sale"))
+    return amounts(both, "average_sale")
+
+
 @query(f"SELECT status, {SUM_ORDERS} FROM v_orders GROUP BY status ORDER BY 2 DESC")
 def status_revenue(w: Warehouse):
     return amounts(reports.revenue_by(w.orders(), ["status"], ORDER_SALES), "total_revenue")
@@ -177,6 +184,13 @@ def top10_branches(w: Warehouse):
         w.lines(), w.branch_names(), "branch_id", ["branch_name"], 10), "total_revenue")
 
 
+@query(f"""SELECT product_id, product_name, {SUM_LINES} FROM v_lines
+    JOIN v_products USING (product_id) GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 5""")
+def top5_products(w: Warehouse):
+    return amounts(reports.top_sellers(
+        w.lines(), w.products(), "product_id", ["product_name"], 5), "total_revenue")
+
+
 @query(f"""SELECT branch_id, branch_name, {SUM_LINES} FROM v_lines
     JOIN v_branches USING (branch_id) GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 1""")
 def top1_branch(w: Warehouse):
