@@ -138,7 +138,7 @@ def stored_top_customer(w: Warehouse):
 
 
 def _event_loads(w: Warehouse, times: int) -> Ledger:
-    source = f"{w.folder}/events.parquet*"
+    source = f"{w.folder}/events.parque[t]"  # a pattern, as the stream takes no single file
     schema = w.table("events").schema
     ledger = Ledger.create(w.spark, new_table_path(w.spark, "events-ledger"), schema, ["event_id"])
     progress = new_table_path(w.spark, "events-progress")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallyhouse.operators.changes import one_per_key
 from tallyhouse.operators.dimensions import (
     add_parent, extract_lookup, flatten_dimension, normalise_dimension)
+from tallyhouse.operators.history import union_all
 from tallyhouse.operators.quality import key_report, orphan_counts, row_counts
 from tallyhouse.sources.delimited import NULL_TOKENS, read_table
 
@@ -133,8 +134,9 @@ class Snowflake:
 
     @cached_property
     def _states(self) -> DataFrame:
-        """Each state with its region: as the branches say, else by the fixed list."""
-        stated = one_per_key(self.star.branch.select("state", "region"), ["state"])
+        """Each state with its region: as the dimensions say, else by the fixed list."""
+        holders = [d for d in (self.star.branch, self.star.customer) if "region" in d.columns]
+        stated = one_per_key(union_all([d.select("state", "region") for d in holders]), ["state"])
         listed = F.create_map(*[F.lit(x) for pair in self.state_region.items() for x in pair])
         return (self._places.select("state").distinct().join(stated, "state", "left")
                 .withColumn("region", F.coalesce("region", F.try_element_at(listed, F.col("state")))))
@@ -221,7 +223,8 @@ class Snowflake:
 
     @property
     def customer(self) -> DataFrame:
-        return normalise_dimension(self.star.customer, self._city_ids, ["city", "state"], "city_id")
+        return normalise_dimension(self.star.customer, self._city_ids, ["city", "state"], "city_id") \
+            .drop("region")
 
     @property
     def branch(self) -> DataFrame:
