@@ -9,7 +9,6 @@ one key owns a third of the feed.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -224,7 +223,3 @@ def version_faults(dimension: DataFrame, key: str) -> DataFrame:
     broken = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]),
                       lambda name: name.isNotNull())
     return per_key.select(key, F.explode(broken).alias("fault"))
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -1,4 +1,4 @@
-"""Join helpers."""
+"""Joins and unions by column name."""
 
 from __future__ import annotations
 
@@ -20,3 +20,7 @@ def join_on_same(left: DataFrame, right: DataFrame, columns: Sequence[str],
                           *[c for c in right.columns if c not in columns])
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in columns])
     return left.join(marked, same, how).drop(*[f"_r_{c}" for c in columns])
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)

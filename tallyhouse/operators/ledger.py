@@ -6,9 +6,9 @@ Layout under one folder, all Parquet:
 ``commits``         one row per finished commit: its number and time
 
 A commit writes its rows first and its commit row last, and readers only open
-the partitions of finished commits, so a half-written commit is never seen.
-Writing a version again replaces its partition: a repeated batch changes
-nothing. One writer at a time is assumed.
+the partitions of finished commits, so a half-written commit is never seen; the
+next commit takes its number and replaces its rows. One writer at a time is
+assumed.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ INSERT, DELETE = "I", "D"
 
 _COMMITS = T.StructType([
     T.StructField("version", T.LongType()), T.StructField("committed_at", T.TimestampNTZType()),
-    T.StructField("base_path", T.StringType()), T.StructField("base_version", T.LongType())])
+    T.StructField("base_path", T.StringType()), T.StructField("base_version", T.LongType()),
+    T.StructField("batch", T.StringType())])
 
 
 class Ledger:
@@ -46,9 +47,10 @@ class Ledger:
 
     # --- commits ---------------------------------------------------------------
 
-    def _finish(self, version: int, at: datetime | None, base_path: str | None = None) -> None:
+    def _finish(self, version: int, at: datetime | None, base_path: str | None = None,
+                batch: str | None = None) -> None:
         row = {"version": version, "committed_at": at or datetime.now(), "base_path": base_path,
-               "base_version": version if base_path else None}
+               "base_version": version if base_path else None, "batch": batch}
         (self.spark.range(1).coalesce(1)
          .select(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in _COMMITS.fields])
          .write.mode("append").parquet(f"{self.path}/commits"))
@@ -57,7 +59,7 @@ class Ledger:
         """Finished commits. A repeated commit keeps its first time."""
         return self._commit_rows().groupBy("version").agg(
             F.min("committed_at").alias("committed_at"), F.max("base_path").alias("base_path"),
-            F.max("base_version").alias("base_version"))
+            F.max("base_version").alias("base_version"), F.max("batch").alias("batch"))
 
     def _commit_rows(self) -> DataFrame:
         return self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
@@ -81,8 +83,13 @@ class Ledger:
             raise ValueError(f"nothing was committed by {moment}")
         return max(earlier)
 
+    def version_of(self, batch: str) -> int | None:
+        """The version a named batch was committed as, if it was."""
+        return next((e.version for e in self._log() if e.batch == batch), None)
+
     def commit(self, inserts: DataFrame | None = None, deletes: DataFrame | None = None,
-               version: int | None = None, at: datetime | None = None) -> int:
+               version: int | None = None, at: datetime | None = None,
+               batch: str | None = None) -> int:
         """Write one batch. ``deletes`` needs the keys only; an update is a delete and an insert."""
         version = self.latest_version() + 1 if version is None else version
         names = self.schema.fieldNames()
@@ -95,9 +102,9 @@ class Ledger:
             parts.append(inserts.select(*names, F.lit(INSERT).alias("op")))
         if not parts:
             raise ValueError("nothing to commit")
-        batch = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        batch.write.mode("overwrite").parquet(f"{self.path}/rows/version={version}")
-        self._finish(version, at)
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        rows.write.mode("overwrite").parquet(f"{self.path}/rows/version={version}")
+        self._finish(version, at, batch=batch)
         return version
 
     # --- reading ---------------------------------------------------------------

@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.operators.history import union_all
+from tallyhouse.operators.joins import union_all
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_as: str = "duplicate_count") -> DataFrame:

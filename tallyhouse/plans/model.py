@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallyhouse.operators.changes import one_per_key
 from tallyhouse.operators.dimensions import (
     add_parent, extract_lookup, flatten_dimension, normalise_dimension)
-from tallyhouse.operators.history import union_all
+from tallyhouse.operators.joins import union_all
 from tallyhouse.operators.quality import key_report, orphan_counts, row_counts
 from tallyhouse.sources.delimited import NULL_TOKENS, read_table
 

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.operators.changes import new_rows
 from tallyhouse.operators.ledger import Ledger
 
 
-def merge_batch(ledger: Ledger, batch: DataFrame, version: int) -> None:
-    """Insert the batch rows whose key the table lacked before this version.
+def merge_batch(ledger: Ledger, rows: DataFrame, batch: str) -> int:
+    """Insert the rows whose key the table lacks, once per batch name; returns the version.
 
-    The version's own rows are left out of the comparison, so a batch that is
-    replayed after a failure writes the same partition again.
+    A batch that was committed before is left alone. One that failed before
+    its commit is written anew under the same version number.
     """
-    held = ledger.live_keys(version - 1, among=batch)
-    ledger.commit(inserts=new_rows(held, batch, ledger.keys), version=version)
+    done = ledger.version_of(batch)
+    if done is not None:
+        return done
+    held = ledger.live_keys(among=rows)
+    return ledger.commit(inserts=new_rows(held, rows, ledger.keys), batch=batch)
+
+
+def _stream_id(spark: SparkSession, progress: str) -> str:
+    """The id Spark gave to the stream that keeps its progress in this folder."""
+    return json.loads(spark.read.text(f"{progress}/metadata").first()[0])["id"]
 
 
 def load_new_files(spark: SparkSession, source: str, ledger: Ledger, progress: str, *,
@@ -24,16 +34,18 @@ def load_new_files(spark: SparkSession, source: str, ledger: Ledger, progress: s
     """Take in the files that arrived since the last call; returns the batches run.
 
     This is the body of a daily job: call it from any scheduler. ``progress``
-    is the stream's checkpoint folder; the batch number gives the version.
+    is the stream's checkpoint folder. Stream id and batch number name the
+    commit, so a batch repeated after a failure is recognised, and the ledger
+    may hold other commits before, between and after.
     """
     reader = spark.readStream.format(file_format).schema(ledger.schema).options(**(options or {}))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def take_in(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
+    def take_in(rows: DataFrame, number: int) -> None:
+        session = rows.sparkSession
         own = Ledger(session, ledger.path, ledger.schema, ledger.keys)
-        merge_batch(own, batch.select(*own.schema.fieldNames()), number + 1)
+        merge_batch(own, rows.select(*own.schema.fieldNames()), f"{_stream_id(session, progress)}/{number}")
 
     query = (reader.load(source).writeStream.foreachBatch(take_in)
              .option("checkpointLocation", progress).trigger(availableNow=True).start())

@@ -94,26 +94,38 @@ def test_stored_totals(spark):
 
 def test_batches_are_idempotent(spark, ledger):
     batch = frame(spark, (4, "other"), (8, "h"), (8, "i"))
-    merge_batch(ledger, batch, 4)
+    assert merge_batch(ledger, batch, "s/0") == 4
     once = rows(ledger.snapshot())
-    merge_batch(ledger, batch, 4)
+    assert merge_batch(ledger, batch, "s/0") == 4
     assert rows(ledger.snapshot()) == once == [
         (1, "a"), (2, "B"), (3, None), (4, "d"), (8, "i")]
-    merge_batch(ledger, batch, 5)
+    assert merge_batch(ledger, batch, "s/1") == 5
     assert rows(ledger.snapshot()) == once
 
 
+def test_failed_batch_is_written_anew(spark, ledger):
+    half = frame(spark, (90, "half")).withColumn("op", F.lit("I"))
+    half.write.parquet(f"{ledger.path}/rows/version=4")
+    assert merge_batch(ledger, frame(spark, (91, "w")), "s/0") == 4
+    assert rows(ledger.entries(3).select("id")) == [(91,)]
+
+
 def test_only_new_files_are_loaded(spark, tmp_path):
     schema = frame(spark, (0, "")).schema
     ledger = Ledger.create(spark, new_table_path(spark, "stream"), schema, ["id"])
+    ledger.commit(inserts=frame(spark, (1, "base"), (50, "base")))
     source, progress = str(tmp_path / "in"), str(tmp_path / "progress")
     load = lambda: load_new_files(
         spark, source, ledger, progress, file_format="csv", options={"header": "true"})
     frame(spark, (1, "a"), (2, "b")).coalesce(1).write.option("header", True).csv(source)
     load()
     load()
-    assert rows(ledger.snapshot()) == [(1, "a"), (2, "b")]
+    assert rows(ledger.snapshot()) == [(1, "base"), (2, "b"), (50, "base")]
     frame(spark, (2, "again"), (3, "c")).coalesce(1).write.mode("append").option("header", True).csv(source)
     load()
-    assert rows(ledger.snapshot()) == [(1, "a"), (2, "b"), (3, "c")]
-    assert [tuple(r) for r in loaded_per_version(ledger).orderBy("version").collect()] == [(1, 2), (2, 1)]
+    assert rows(ledger.snapshot()) == [(1, "base"), (2, "b"), (3, "c"), (50, "base")]
+    assert [tuple(r) for r in loaded_per_version(ledger).orderBy("version").collect()] == [
+        (1, 2), (2, 1), (3, 1)]
+    load_new_files(spark, source, ledger, str(tmp_path / "lost-progress"), file_format="csv",
+                   options={"header": "true"})
+    assert rows(ledger.snapshot()) == [(1, "base"), (2, "b"), (3, "c"), (50, "base")]
