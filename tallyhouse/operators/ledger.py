@@ -18,6 +18,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tallyhouse.operators.joins import union_all
 from tallyhouse.operators.totals import totals_by
 
 INSERT, DELETE = "I", "D"
@@ -25,11 +26,11 @@ INSERT, DELETE = "I", "D"
 _COMMITS = T.StructType([
     T.StructField("version", T.LongType()), T.StructField("committed_at", T.TimestampNTZType()),
     T.StructField("base_path", T.StringType()), T.StructField("base_version", T.LongType()),
-    T.StructField("batch", T.StringType())])
+    T.StructField("batch", T.StringType()), T.StructField("fresh", T.BooleanType())])
 
 
 class Ledger:
-    """``schema`` are the columns of the table, ``keys`` the ones that identify a row."""
+    """``schema`` are the columns of the table, ``keys`` those that identify a row, never NULL."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
@@ -48,9 +49,9 @@ class Ledger:
     # --- commits ---------------------------------------------------------------
 
     def _finish(self, version: int, at: datetime | None, base_path: str | None = None,
-                batch: str | None = None) -> None:
+                batch: str | None = None, fresh: bool = False) -> None:
         row = {"version": version, "committed_at": at or datetime.now(), "base_path": base_path,
-               "base_version": version if base_path else None, "batch": batch}
+               "base_version": version if base_path else None, "batch": batch, "fresh": fresh}
         (self.spark.range(1).coalesce(1)
          .select(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in _COMMITS.fields])
          .write.mode("append").parquet(f"{self.path}/commits"))
@@ -89,8 +90,14 @@ class Ledger:
 
     def commit(self, inserts: DataFrame | None = None, deletes: DataFrame | None = None,
                version: int | None = None, at: datetime | None = None,
-               batch: str | None = None) -> int:
-        """Write one batch. ``deletes`` needs the keys only; an update is a delete and an insert."""
+               batch: str | None = None, fresh: bool = False) -> int:
+        """Write one batch. ``deletes`` needs the keys only; an update is a delete and an insert.
+
+        ``fresh`` promises that every inserted key is given once and is not in
+        the table. Such rows stay out of the shuffle when a state is read.
+        """
+        if fresh and deletes is not None:
+            raise ValueError("a commit with deletes is not fresh")
         version = self.latest_version() + 1 if version is None else version
         names = self.schema.fieldNames()
         parts = []
@@ -104,29 +111,34 @@ class Ledger:
             raise ValueError("nothing to commit")
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         rows.write.mode("overwrite").parquet(f"{self.path}/rows/version={version}")
-        self._finish(version, at, batch=batch)
+        self._finish(version, at, batch=batch, fresh=fresh)
         return version
 
     # --- reading ---------------------------------------------------------------
 
-    def entries(self, after: int = 0, up_to: int | None = None) -> DataFrame:
-        """Ledger rows of the finished commits in ``(after, up_to]``, branch bases included."""
+    def _parts(self, after: int = 0, up_to: int | None = None) -> list[tuple[str, int, bool]]:
+        """Folder, version and freshness of the finished commits in ``(after, up_to]``."""
         log = self._log()
         origin = next((e for e in log if e.base_path), None)
         first_own = origin.base_version if origin else 0
-        own = [e.version for e in log
-               if e.version > max(after, first_own) and (up_to is None or e.version <= up_to)]
-        if own:
-            paths = [f"{self.path}/rows/version={v}" for v in own]
-            rows = (self.spark.read.schema(self._stored)
-                    .option("basePath", f"{self.path}/rows").parquet(*paths))
-        else:
-            rows = self.spark.createDataFrame([], self._stored)
+        parts = [(f"{self.path}/rows", e.version, bool(e.fresh)) for e in log
+                 if e.version > max(after, first_own) and (up_to is None or e.version <= up_to)]
         if origin and after < first_own:
             base = Ledger(self.spark, origin.base_path, self.schema, self.keys)
             limit = first_own if up_to is None else min(up_to, first_own)
-            rows = base.entries(after, limit).unionByName(rows)
-        return rows
+            parts = base._parts(after, limit) + parts
+        return parts
+
+    def _read(self, parts: Sequence[tuple[str, int, bool]]) -> DataFrame:
+        frames = []
+        for root in dict.fromkeys(folder for folder, _, _ in parts):
+            paths = [f"{root}/version={version}" for folder, version, _ in parts if folder == root]
+            frames.append(self.spark.read.schema(self._stored).option("basePath", root).parquet(*paths))
+        return union_all(frames) if frames else self.spark.createDataFrame([], self._stored)
+
+    def entries(self, after: int = 0, up_to: int | None = None) -> DataFrame:
+        """Ledger rows of the finished commits in ``(after, up_to]``, branch bases included."""
+        return self._read(self._parts(after, up_to))
 
     def _last_states(self, entries: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """The latest entry of each key. Within a version an insert follows a delete."""
@@ -135,10 +147,29 @@ class Ledger:
         return entries.groupBy(*self.keys).agg(latest)
 
     def snapshot(self, version: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-        """The table as of ``version``, by default now; only ``columns`` are read and moved."""
+        """The table as of ``version``, by default now; only ``columns`` are read and moved.
+
+        Rows of fresh commits are the state of their keys unless another
+        commit touches them, so they are only compared with the touched keys:
+        no shuffle while those are few, none at all when every commit is fresh.
+        """
         names = list(columns or self.schema.fieldNames())
-        last = self._last_states(self.entries(up_to=version), names)
-        return (last.filter(F.col("_last.op") == INSERT)
+        parts = self._parts(up_to=version)
+        fresh = [part for part in parts if part[2]]
+        others = [part for part in parts if not part[2]]
+        if fresh and not others:
+            return self._read(fresh).select(*names)
+        entries = self._read(parts)
+        if not fresh:
+            return self._present(entries, names)
+        touched = self._read(others).select(*self.keys).distinct()
+        untouched = self._read(fresh).join(touched, self.keys, "left_anti").select(*names)
+        return untouched.unionByName(
+            self._present(entries.join(touched, self.keys, "left_semi"), names))
+
+    def _present(self, entries: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Rows whose latest entry is an insert."""
+        return (self._last_states(entries, names).filter(F.col("_last.op") == INSERT)
                 .select(*self.keys, "_last.*").select(*names))
 
     def live_keys(self, version: int | None = None, among: DataFrame | None = None) -> DataFrame:

@@ -29,8 +29,8 @@ def order_ledger(w: Warehouse, commits: int) -> Ledger:
     early = F.col("sale_date") < F.lit("1999-01-01").cast("date")
     reopened = (F.col("status") == "O") & (F.col("sale_date") < F.lit("1998-01-01").cast("date"))
     steps = [
-        lambda: ledger.commit(inserts=orders.filter(early), at=datetime(2026, 1, 2)),
-        lambda: ledger.commit(inserts=orders.filter(~early), at=datetime(2026, 1, 3)),
+        lambda: ledger.commit(inserts=orders.filter(early), at=datetime(2026, 1, 2), fresh=True),
+        lambda: ledger.commit(inserts=orders.filter(~early), at=datetime(2026, 1, 3), fresh=True),
         lambda: ledger.commit(deletes=orders.filter("status = 'P'"), at=datetime(2026, 1, 4)),
         lambda: ledger.commit(deletes=orders.filter(reopened),
                               inserts=orders.filter(reopened).withColumn("status", F.lit("F")),

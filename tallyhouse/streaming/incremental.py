@@ -20,7 +20,7 @@ def merge_batch(ledger: Ledger, rows: DataFrame, batch: str) -> int:
     if done is not None:
         return done
     held = ledger.live_keys(among=rows)
-    return ledger.commit(inserts=new_rows(held, rows, ledger.keys), batch=batch)
+    return ledger.commit(inserts=new_rows(held, rows, ledger.keys), batch=batch, fresh=True)
 
 
 def _stream_id(spark: SparkSession, progress: str) -> str:

@@ -30,6 +30,33 @@ def ledger(spark):
     return made
 
 
+@pytest.mark.parametrize("flags", [(True, False, False, True), (False, False, True, True),
+                                   (True, False, True, False), (False,) * 4])
+def test_fresh_commits_change_no_state(spark, flags):
+    ledger = Ledger.create(spark, new_table_path(spark, "f"), frame(spark, (0, "")).schema, ["id"])
+    ledger.commit(inserts=frame(spark, (1, "a"), (2, "b"), (3, "c")), fresh=flags[0])
+    ledger.commit(deletes=frame(spark, (1, None), (2, None)), inserts=frame(spark, (2, "B")))
+    ledger.commit(inserts=frame(spark, (1, "again"), (4, "d")), fresh=flags[2])
+    branch = ledger.branch(new_table_path(spark, "fb"))
+    branch.commit(inserts=frame(spark, (5, "e")), fresh=flags[3])
+    assert rows(ledger.snapshot(1)) == [(1, "a"), (2, "b"), (3, "c")]
+    assert rows(ledger.snapshot(2)) == [(2, "B"), (3, "c")]
+    assert rows(ledger.snapshot()) == [(1, "again"), (2, "B"), (3, "c"), (4, "d")]
+    assert rows(branch.snapshot()) == [(1, "again"), (2, "B"), (3, "c"), (4, "d"), (5, "e")]
+    assert rows(branch.snapshot(columns=["id"])) == [(1,), (2,), (3,), (4,), (5,)]
+    with pytest.raises(ValueError):
+        ledger.commit(inserts=frame(spark, (9, "")), deletes=frame(spark, (1, "")), fresh=True)
+
+
+def test_fresh_commits_are_read_without_a_shuffle(spark):
+    ledger = Ledger.create(spark, new_table_path(spark, "g"), frame(spark, (0, "")).schema, ["id"])
+    merge_batch(ledger, frame(spark, (1, "a")), "s/0")
+    merge_batch(ledger, frame(spark, (1, "b"), (2, "b")), "s/1")
+    state = ledger.snapshot()
+    assert "Exchange" not in state._jdf.queryExecution().executedPlan().toString()
+    assert rows(state) == [(1, "a"), (2, "b")]
+
+
 def test_snapshots(ledger):
     assert rows(ledger.snapshot(0)) == []
     assert rows(ledger.snapshot(1)) == [(1, "a"), (2, "b"), (3, None)]
