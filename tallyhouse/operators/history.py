@@ -128,15 +128,24 @@ def _expired(current: DataFrame, steps: DataFrame, key: str) -> DataFrame:
     return joined.select(*[period.get(c, F.col(c)).alias(c) for c in current.columns])
 
 
+def _require_known(dimension: DataFrame, known: Sequence[str]) -> None:
+    """A new version can only hold what the change or the rule gives it."""
+    unknown = [c for c in dimension.columns if c not in known]
+    if unknown:
+        raise ValueError(f"columns {unknown} would be lost in new versions: track them or drop them")
+
+
 def apply_versions(dimension: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
-                   last_by: Sequence[str] = ()) -> DataFrame:
+                   last_by: Sequence[str] = (), surrogate: str | None = None) -> DataFrame:
     """Type 2: close the current version and add the new ones, in one result.
 
     A batch may hold several changes per key. A change equal to the state
     before it adds no version, so a repeated batch changes nothing; keys new
     to the dimension simply start. Closed versions are passed through without
-    a join.
+    a join. A ``surrogate`` column stays empty in new versions, for
+    :func:`fill_surrogates`.
     """
+    _require_known(dimension, [key, *tracked, *PERIOD, surrogate])
     current = dimension.filter("is_current")
     steps = _steps(current, updates, key, tracked, last_by)
     added = steps.select(key, *tracked, "effective_date",
@@ -147,11 +156,14 @@ def apply_versions(dimension: DataFrame, updates: DataFrame, key: str, tracked:
 
 
 def apply_hybrid(dimension: DataFrame, updates: DataFrame, key: str, column: str,
-                 others: Sequence[str] = (), last_by: Sequence[str] = ()) -> DataFrame:
+                 others: Sequence[str] = (), last_by: Sequence[str] = (),
+                 surrogate: str | None = None) -> DataFrame:
     """Type 6: as type 2, and a new version also keeps the value it replaced.
 
     The closed version keeps its own current value.
     """
+    _require_known(dimension, [key, *others, *PERIOD, surrogate, f"current_{column}",
+                               f"previous_{column}", f"historical_{column}"])
     as_was = dimension.withColumnRenamed(f"current_{column}", column)
     tracked = [column, *others]
     current = as_was.filter("is_current")

@@ -205,7 +205,8 @@ def scd2_replay(w: Warehouse):
 def scd2_surrogates(w: Warehouse):
     """New versions are numbered after the keys given at the load."""
     loaded = assign_keys(history.start_versions(w.customers(), START), "customer_key", ["customer_id"])
-    applied = history.apply_versions(loaded, reviews(w), "customer_id", TRACKED)
+    applied = history.apply_versions(loaded, reviews(w), "customer_id", TRACKED,
+                                     surrogate="customer_key")
     filled = history.fill_surrogates(applied, "customer_key", ["customer_id", "effective_date"])
     return filled.select("customer_id", "effective_date", "customer_key")
 

@@ -84,7 +84,9 @@ def test_type_2(initial, updates):
 
 def test_type_2_surrogates(initial, updates):
     loaded = history.start_versions(assign_keys(initial, "customer_key", ["customer_id"]), "2026-01-01")
-    after = history.apply_versions(loaded, updates, "customer_id", TRACKED)
+    with pytest.raises(ValueError):
+        history.apply_versions(loaded, updates, "customer_id", TRACKED)
+    after = history.apply_versions(loaded, updates, "customer_id", TRACKED, surrogate="customer_key")
     filled = history.fill_surrogates(after, "customer_key", ["customer_id"])
     assert table(filled.filter("customer_key > 5"), "customer_key", "customer_id") == [
         (6, 101), (7, 103), (8, 104)]
