@@ -26,10 +26,24 @@ def one_per_key(df: DataFrame, keys: Sequence[str], last_by: Sequence[str] = ())
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
 
 
+def keys_among(target: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Those keys of ``candidates`` that the target holds.
+
+    The target is cut by a semi join first: a small set of candidates is
+    broadcast by Spark, and then hardly anything of the target is shuffled.
+    """
+    wanted = candidates.select(*keys).distinct()
+    return target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
+
+
+def unknown_rows(source: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source rows, one per key, whose key is not among ``known``."""
+    return one_per_key(source, keys).join(known, list(keys), "left_anti").select(*source.columns)
+
+
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The source rows, one per key, whose key the target lacks."""
-    known = target.select(*keys).distinct()
-    return one_per_key(source, keys).join(known, list(keys), "left_anti").select(*source.columns)
+    return unknown_rows(source, keys_among(target, source, keys), keys)
 
 
 def merge_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,8 +59,8 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
 def restore_rows(target: DataFrame, earlier: DataFrame, keys: Sequence[str],
                  condition: Column) -> DataFrame:
     """Bring back rows of an earlier state that meet ``condition`` and are gone now."""
-    present = target.select(*keys).distinct()
-    lost = earlier.filter(condition).join(present, list(keys), "left_anti")
+    wanted = earlier.filter(condition)
+    lost = wanted.join(keys_among(target, wanted, keys), list(keys), "left_anti")
     return target.unionByName(lost.select(*target.columns))
 
 

@@ -80,23 +80,29 @@ def _with_replaced(df: DataFrame, column: str, by: Mapping[str, Column]) -> Data
 
 def _placed(current: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
             last_by: Sequence[str]) -> DataFrame:
-    """Changes, one per key and day, beside the state (``_base``) they meet.
-
-    The dimension is cut to the changed keys by a semi join, which needs no
-    shuffle of the dimension when the batch is small.
-    """
+    """Changes, one per key and day, beside the state (``_base``) they meet."""
     changes = one_per_key(updates.select(key, *tracked, "effective_date", *last_by),
                           [key, "effective_date"], last_by)
     base = current.select(key, F.col("effective_date").alias("_since"),
                           F.struct(*tracked).alias("_base"))
-    met = base.join(updates.select(key).distinct(), key, "left_semi")
-    return changes.join(met, key, "left")
+    return changes.join(base, key, "left")
+
+
+def _split_current(dimension: DataFrame, updates: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Current rows without and with changes for their key.
+
+    Both are plain cuts by the changed keys. Spark broadcasts a small set of
+    keys, and then rows without changes pass through unshuffled.
+    """
+    current, keys = dimension.filter("is_current"), updates.select(key).distinct()
+    return current.join(keys, key, "left_anti"), current.join(keys, key, "left_semi")
 
 
 def late_changes(dimension: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
                  last_by: Sequence[str] = ()) -> DataFrame:
     """Changes dated on or before the current version: reported, never applied."""
-    placed = _placed(dimension.filter("is_current"), updates, key, tracked, last_by)
+    _, touched = _split_current(dimension, updates, key)
+    placed = _placed(touched, updates, key, tracked, last_by)
     return (placed.filter("effective_date <= _since")
             .select(key, *tracked, "effective_date", F.col("_since").alias("current_since")))
 
@@ -146,12 +152,12 @@ def apply_versions(dimension: DataFrame, updates: DataFrame, key: str, tracked:
     :func:`fill_surrogates`.
     """
     _require_known(dimension, [key, *tracked, *PERIOD, surrogate])
-    current = dimension.filter("is_current")
-    steps = _steps(current, updates, key, tracked, last_by)
+    untouched, touched = _split_current(dimension, updates, key)
+    steps = _steps(touched, updates, key, tracked, last_by)
     added = steps.select(key, *tracked, "effective_date",
                          *[e.alias(n) for n, e in _period_of_step().items()])
     return (dimension.filter(~F.col("is_current"))
-            .unionByName(_expired(current, steps, key))
+            .unionByName(untouched).unionByName(_expired(touched, steps, key))
             .unionByName(added, allowMissingColumns=True).select(*dimension.columns))
 
 
@@ -164,18 +170,17 @@ def apply_hybrid(dimension: DataFrame, updates: DataFrame, key: str, column: str
     """
     _require_known(dimension, [key, *others, *PERIOD, surrogate, f"current_{column}",
                                f"previous_{column}", f"historical_{column}"])
-    as_was = dimension.withColumnRenamed(f"current_{column}", column)
     tracked = [column, *others]
-    current = as_was.filter("is_current")
-    steps = _steps(current, updates, key, tracked, last_by)
+    untouched, touched = _split_current(dimension, updates, key)
+    as_was = touched.withColumnRenamed(f"current_{column}", column)
+    steps = _steps(as_was, updates, key, tracked, last_by)
     added = steps.select(
         key, *others, F.col(column).alias(f"current_{column}"),
         F.col(f"_before.{column}").alias(f"previous_{column}"),
         F.col(column).alias(f"historical_{column}"), "effective_date",
         *[e.alias(n) for n, e in _period_of_step().items()])
-    closed = _expired(current, steps, key).withColumnRenamed(column, f"current_{column}")
     return (dimension.filter(~F.col("is_current"))
-            .unionByName(closed)
+            .unionByName(untouched).unionByName(_expired(touched, steps, key))
             .unionByName(added, allowMissingColumns=True).select(*dimension.columns))
 
 

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.operators.changes import new_rows
+from tallyhouse.operators.changes import unknown_rows
 from tallyhouse.operators.ledger import Ledger
 
 
@@ -20,7 +20,7 @@ def merge_batch(ledger: Ledger, rows: DataFrame, batch: str) -> int:
     if done is not None:
         return done
     held = ledger.live_keys(among=rows)
-    return ledger.commit(inserts=new_rows(held, rows, ledger.keys), batch=batch, fresh=True)
+    return ledger.commit(inserts=unknown_rows(rows, held, ledger.keys), batch=batch, fresh=True)
 
 
 def _stream_id(spark: SparkSession, progress: str) -> str:
