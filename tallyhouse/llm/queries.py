@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import byte_bpe, flat_ids
+from tallyhouse.llm import byte_bpe, exact_dedup, flat_ids, simhash
 from tallyhouse.sources.tables import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,21 @@ def query(sql: str | None = None):
     return register
 
 
+@query(r"""
+WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
+groups AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM plain GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
+FROM plain JOIN groups USING (body)""")
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_groups(scan(spark, folder, "documents"))
+
+
+@query()
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_groups(scan(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query()
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = byte_bpe.encode_documents(scan(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
