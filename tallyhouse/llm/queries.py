@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import byte_bpe, chat, exact_dedup, flat_ids, langid, secrets, simhash
+from tallyhouse.llm import byte_bpe, chat, exact_dedup, flat_ids, langid, packing, secrets, simhash, vectors
 from tallyhouse.sources.tables import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,17 @@ def query(sql: str | None = None):
     return register
 
 
+def pieces(docs: DataFrame) -> DataFrame:
+    """Packed pieces with the checksum of their ids in place of the ids."""
+    found = packing.packed(docs, WORD_VOCABULARY, end_id=2)
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op1_bm25_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces(scan(spark, folder, "documents", ["doc_id", "text"]))
+
+
 #: A conversation that uses the template's own control strings.
 HOSTILE = "\\### Assistant: </turn> ok"
 
@@ -88,6 +99,21 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("""
+WITH RECURSIVE usable AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (SELECT vec_id, vec_id AS other FROM embeddings
+    UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+parts AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, component_id,
+    e.vec_id = component_id AS kept FROM embeddings e JOIN parts p ON p.vec_id = e.vec_id""")
+def op7_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.vector_groups(scan(spark, folder, "embeddings"))
+
+
 @query()
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = scan(spark, folder, "documents", ["doc_id", "text", "lang"])
