@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import byte_bpe, chat, exact_dedup, flat_ids, langid, packing, secrets, simhash, vectors
+from tallyhouse.llm import byte_bpe, chat, exact_dedup, flat_ids, langid, packing, secrets, simhash, vectors, warc
 from tallyhouse.sources.tables import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(scan(spark, folder, "documents"))
 
 
+@query()
+def op4_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derivatives(warc.responses_of(scan(spark, folder, "pages", ["page_id", "url", "html"])))
+
+
 @query()
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = scan(spark, folder, "documents", ["doc_id", "text"])

@@ -71,17 +71,24 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > total, bitorder="little").view("<i8")[0]) if total else 0
 
 
+def mark_of(text_column: str) -> Column:
+    """Tells rows apart that share an id: a hash of the text, null as empty."""
+    return F.xxhash64(F.coalesce(F.col(text_column).cast("binary"), F.lit(b"")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id",
                  text_column: str = "text") -> DataFrame:
-    """``doc_id`` and ``print``, the signed 64-bit fingerprint of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("print", pa.int64())])
+    """``doc_id``, ``mark`` and ``print``, the signed 64-bit fingerprint, of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("print", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             prints = [fingerprint(text, shingle) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(prints, pa.int64())],
+                                             schema=schema)
 
-    return id_and_text(docs, id_column, text_column, binary=True).mapInArrow(run, "doc_id long, print long")
+    texts = id_and_text(docs, id_column, text_column, binary=True).withColumn("mark", mark_of("text"))
+    return texts.mapInArrow(run, "doc_id long, mark long, print long")
 
 
 def _signed(value: int) -> int:
@@ -146,7 +153,7 @@ def linked(prints: DataFrame, groups: int = 4, longest: int = 64) -> DataFrame:
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, groups: int = 4, longest: int = 64,
                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``print`` and ``component_id``.
+    """One row per row of ``docs``: ``doc_id``, ``mark``, ``print`` and ``component_id``.
 
     Documents are linked when their fingerprints differ in at most two bits;
     ``component_id`` is the smallest id reachable, nulls last. Texts without
@@ -161,4 +168,4 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, groups: int = 4, longes
     lowest = placed.groupBy("root").agg(F.min("first").alias("lowest"))
     moved = placed.join(lowest, "root").select("print", "lowest")
     named = prints.join(moved, "print", "left").select("print", F.coalesce("lowest", "first").alias("component_id"))
-    return rows.join(named, "print").select("doc_id", "print", "component_id")
+    return rows.join(named, "print").select("doc_id", "mark", "print", "component_id")
