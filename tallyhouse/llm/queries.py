@@ -106,8 +106,8 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 WITH RECURSIVE usable AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
     WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
 reached AS (SELECT vec_id, vec_id AS other FROM embeddings
