@@ -185,8 +185,9 @@ def exact_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_column: str = "d
                    .groupBy("doc_id", "text_sha256", "one", "two", "n_bytes")
                    .agg(F.count(F.lit(1)).alias("copies")), "prints")
     key = ["one", "two", "n_bytes"]
-    groups = rows.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"),
-                                    F.count(F.lit(1)).alias("documents"))
+    # Stored, so that the joins below shuffle both sides themselves and a large group's rows can be split.
+    groups = written(rows.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"),
+                                            F.count(F.lit(1)).alias("documents")), "groups")
     shared = groups.where("documents > 1")
     wanted = written(rows.select("doc_id", *key).join(shared.select(*key), key), "suspects")
     few = wanted.count() <= scheme.broadcast_rows
