@@ -167,5 +167,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, groups: int = 4, longes
     placed = prints.join(found.withColumnRenamed("node", "print"), "print")
     lowest = placed.groupBy("root").agg(F.min("first").alias("lowest"))
     moved = placed.join(lowest, "root").select("print", "lowest")
-    named = prints.join(moved, "print", "left").select("print", F.coalesce("lowest", "first").alias("component_id"))
+    # Stored, so that the join below shuffles both sides itself and a very common fingerprint's rows can be split.
+    named = written(prints.join(moved, "print", "left").select(
+        "print", F.coalesce("lowest", "first").alias("component_id")), "named")
     return rows.join(named, "print").select("doc_id", "mark", "print", "component_id")
