@@ -233,9 +233,10 @@ def vector_groups(table: DataFrame, plan: Plan = Plan(), id_column: str = "vec_i
     found = components(linked.select("u", "v"), "vectors").withColumnRenamed("node", "cid")
     placed_in = classes.select("cid", "first").join(found, "cid")
     lowest = placed_in.join(placed_in.groupBy("root").agg(F.min("first").alias("lowest")), "root").select("cid", "lowest")
-    told = (classes.join(counted, "cid", "left").join(lowest, "cid", "left")
-            .select("embedding", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                    F.coalesce("lowest", "first").alias("component_id")))
+    # Stored, so that the join below shuffles both sides itself and a very common vector's rows can be split.
+    told = written(classes.join(counted, "cid", "left").join(lowest, "cid", "left")
+                   .select("embedding", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                           F.coalesce("lowest", "first").alias("component_id")), "told")
     alone = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return (good.join(told, "embedding").select("vec_id", "n_links", "component_id").unionAll(alone)
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
