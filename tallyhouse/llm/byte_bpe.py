@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallyhouse.llm.common import id_and_text, slices
-from tallyhouse.llm.tokens import Recent
+from tallyhouse.llm.tokens import GENERATION, Recent
 
 #: A space beside white space: such a text is split by the pattern as a whole.
 _SPACES_MEET = re.compile(r"\s | \s")
@@ -32,53 +32,17 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\Z")
 
 
 class RankQueue:
-    """Positions by rank, the lowest rank's leftmost position first.
+    """Buckets of positions by rank under a hierarchical bitmap, for the lowest rank's leftmost position.
 
     ``low`` has a bit for each rank whose bucket holds something, ``middle`` one
-    for each word of ``low`` that is not zero, ``top`` one for each such word of
-    ``middle``. Three levels of 64-bit words serve 262,144 ranks.
+    for each word of ``low`` that is not zero; the top word, one for each such
+    word of ``middle``, is zero between pre-tokens and kept by ``merge``. Three
+    levels of 64-bit words serve 262,144 ranks.
     """
 
     def __init__(self):
         self.buckets: dict[int, list[int]] = {}
-        self.low, self.middle, self.top = [0] * 4096, [0] * 64, 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> 6
-        was = self.low[word]
-        self.low[word] = was | 1 << (rank & 63)
-        if not was:
-            was = self.middle[word >> 6]
-            self.middle[word >> 6] = was | 1 << (word & 63)
-            if not was:
-                self.top |= 1 << (word >> 6)
-
-    def pop(self) -> tuple[int, int]:
-        """Only while ``top`` is not zero."""
-        top = self.top
-        upper = (top & -top).bit_length() - 1
-        bits = self.middle[upper]
-        word = upper << 6 | (bits & -bits).bit_length() - 1
-        bits = self.low[word]
-        rank = word << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        bits &= bits - 1
-        self.low[word] = bits
-        if not bits:
-            bits = self.middle[upper]
-            bits &= bits - 1
-            self.middle[upper] = bits
-            if not bits:
-                self.top = top & top - 1
-        return rank, bucket[0]
+        self.low, self.middle = [0] * 4096, [0] * 64
 
 
 class Ranks:
@@ -106,33 +70,64 @@ class Ranks:
         n = len(piece)
         after = list(range(1, n + 1))      # the next list position; n ends the list
         before = list(range(-1, n - 1))
-        lookup, queue, longest = rank.get, self.queue, self.longest
-        push, pop = queue.push, queue.pop
+        lookup, longest = rank.get, self.longest
         pair = [lookup(piece[at:at + 2], -1) for at in range(n)]  # rank of the pair that begins here, -1: none
         pair[-1] = -1
-        for at, number in enumerate(pair):
-            if number >= 0:
-                push(number, at)
-        while queue.top:
-            number, at = pop()
+        # The queue's two operations stand in line here: they are nearly all of the work.
+        buckets, low, middle, top = self.queue.buckets, self.queue.low, self.queue.middle, 0
+        arrived = [(number, at) for at, number in enumerate(pair) if number >= 0]
+        while True:
+            for number, at in arrived:     # push
+                bucket = buckets.get(number)
+                if bucket is not None:
+                    heappush(bucket, at)
+                    continue
+                buckets[number] = [at]
+                word = number >> 6
+                bits = low[word]
+                low[word] = bits | 1 << (number & 63)
+                if not bits:
+                    bits = middle[word >> 6]
+                    middle[word >> 6] = bits | 1 << (word & 63)
+                    if not bits:
+                        top |= 1 << (word >> 6)
+            if not top:
+                break
+            upper = (top & -top).bit_length() - 1          # pop: find first set, level by level
+            bits = middle[upper]
+            word = upper << 6 | (bits & -bits).bit_length() - 1
+            bits = low[word]
+            number = word << 6 | (bits & -bits).bit_length() - 1
+            bucket = buckets[number]
+            if len(bucket) > 1:
+                at = heappop(bucket)
+            else:
+                at = bucket[0]
+                del buckets[number]
+                low[word] = bits = bits & bits - 1
+                if not bits:
+                    middle[upper] = bits = middle[upper] & middle[upper] - 1
+                    if not bits:
+                        top &= top - 1
             if pair[at] != number:
-                continue                   # stale
+                arrived = ()               # stale
+                continue
             gone = after[at]
             after[at] = follower = after[gone]
-            pair[gone] = -1
+            pair[gone] = pair[at] = -1
+            arrived = []
             if follower < n:
                 before[follower] = at
                 end = after[follower]
-                pair[at] = found = lookup(piece[at:end], -1) if end - at <= longest else -1
-                if found >= 0:
-                    push(found, at)
-            else:
-                pair[at] = -1
+                if end - at <= longest and (found := lookup(piece[at:end], -1)) >= 0:
+                    pair[at] = found
+                    arrived.append((found, at))
             left = before[at]
             if left >= 0:
-                pair[left] = found = lookup(piece[left:follower], -1) if follower - left <= longest else -1
-                if found >= 0:
-                    push(found, left)
+                pair[left] = -1
+                if follower - left <= longest and (found := lookup(piece[left:follower], -1)) >= 0:
+                    pair[left] = found
+                    arrived.append((found, left))
         ids, at = [], 0
         while at < n:
             ids.append(rank[piece[at:after[at]]])
@@ -142,7 +137,7 @@ class Ranks:
 
 class _Pieces(Recent):
     def __init__(self, ranks: Ranks):
-        super().__init__()
+        super().__init__(2 * GENERATION)  # both tables are worth their memory: a merge takes some 20 microseconds
         self.merge = ranks.merge
 
     def make(self, piece: str) -> bytes:
@@ -153,7 +148,7 @@ class _SpacedWords(Recent):
     """Ids of a space and the word after it."""
 
     def __init__(self, pieces: _Pieces, split):
-        super().__init__()
+        super().__init__(2 * GENERATION)
         self.pieces, self.split = pieces, split
 
     def make(self, word: str) -> bytes:

@@ -25,8 +25,9 @@ _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]?)\Z")
 class Recent(dict):
     """Values by string, made by ``make`` when asked for; one generation back is kept as well."""
 
-    def __init__(self):
+    def __init__(self, generation: int = GENERATION):
         super().__init__()
+        self.generation = generation
         self.earlier: dict[str, bytes] = {}
 
     def make(self, key: str) -> bytes:
@@ -37,7 +38,7 @@ class Recent(dict):
         if value is None:
             value = self.make(key)
         if len(key) <= LONGEST_KEPT:
-            if len(self) >= GENERATION:
+            if len(self) >= self.generation:
                 self.earlier = dict(self)
                 self.clear()
             self[key] = value

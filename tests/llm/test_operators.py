@@ -80,13 +80,14 @@ def test_byte_bpe_equals_the_library(spark, texts, hostile, empty):
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == known.encode_ordinary(text)
 
 
-def test_rank_queue_gives_lowest_rank_then_leftmost():
-    queue, draw = byte_bpe.RankQueue(), random.Random(2)
-    entries = [(draw.randrange(1 << 18), draw.randrange(1000)) for _ in range(3000)]
-    for rank, position in entries:
-        queue.push(rank, position)
-    assert [queue.pop() for _ in entries] == sorted(entries)
-    assert not queue.top
+def test_rank_queue_is_empty_after_each_pre_token():
+    ranks = byte_bpe.Ranks(queries.BYTE_RANKS)
+    known, draw = library(), random.Random(2)
+    for _ in range(500):
+        piece = bytes(draw.choice(b"abcdeinorst\xc3\xa9") for _ in range(draw.randint(1, 200)))
+        assert b"".join(ranks.bytes[i] for i in ranks.merge(piece)) == piece
+        assert not ranks.queue.buckets and not any(ranks.queue.low) and not any(ranks.queue.middle)
+    assert ranks.merge("internationalisation".encode()) == known.encode_ordinary("internationalisation")
 
 
 # -- flat ids ---------------------------------------------------------------------------------
