@@ -18,8 +18,11 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 GENERATION, LONGEST_KEPT = 250_000, 64
-#: Letters whose lower case, normal form and class no Unicode version or context changes, with one mark at most.
-_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]?)\Z")
+_BEYOND = re.compile("[^\x00-\xff]")
+#: A mark between a letter and white space, and so a run of marks of its own.
+_LONE_MARK = re.compile(r"(?<=[a-zß-öø-ÿ])[.,;:!?](?=[ \n]|\Z)")
+#: What the splitter leaves whole and neither normal form nor case changes.
+_PLAIN = re.compile(r"(?:[a-zß-öø-ÿ]+|[.,;:!?])\Z")
 
 
 class Recent(dict):
@@ -45,42 +48,37 @@ class Recent(dict):
         return value
 
 
-class _Pieces(Recent):
-    """Ids of lower-case runs of letters or of one mark, by the model alone."""
-
-    def __init__(self, tokenizer, code: str):
-        from tokenizers import pre_tokenizers
-        super().__init__()
-        self.tokenize, self.code = tokenizer.model.tokenize, code
-        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # The letters that stand for the bytes of non-ASCII characters, as the library names them.
-        self.letters = {code: bytewise.pre_tokenize_str(chr(code))[0][0] for code in range(0xDF, 0x100)}
-
-    def make(self, piece: str) -> bytes:
-        spelled = piece if piece.isascii() else piece.translate(self.letters)
-        return array(self.code, [token.id for token in self.tokenize(spelled)]).tobytes()
-
-
 class WordIds(Recent):
-    """Ids of words as little-endian bytes."""
+    """Ids of words as little-endian bytes.
+
+    In a text of Latin-1 characters, case and normal form do not depend on
+    context, so it is lower-cased as a whole and single marks after a letter
+    become words of their own: far fewer words are then distinct. A lower-case
+    run of letters or one mark is a word the model encodes alone; all others
+    go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        super().__init__()
+        from tokenizers import Tokenizer, pre_tokenizers
+        super().__init__(2 * GENERATION)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces = _Pieces(self.tokenizer, self.dtype.char)
+        self.code, self.tokenize = self.dtype.char, self.tokenizer.model.tokenize
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # The letters that stand for the bytes of non-ASCII characters, as the library names them.
+        self.letters = {code: bytewise.pre_tokenize_str(chr(code))[0][0] for code in range(0xDF, 0x100)}
 
     def make(self, word: str) -> bytes:
-        plain = _PLAIN.match(word.lower())
-        if not plain:
-            return array(self.dtype.char, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        letters, mark = plain.groups()
-        return self.pieces[letters] + self.pieces[mark] if mark else self.pieces[letters]
+        if not _PLAIN.match(word):
+            return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        spelled = word if word.isascii() else word.translate(self.letters)
+        return array(self.code, [token.id for token in self.tokenize(spelled)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as bytes of ``dtype``."""
+        if text.isascii() or not _BEYOND.search(text):
+            text = _LONE_MARK.sub(r" \g<0>", text.lower())
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
