@@ -29,7 +29,7 @@ from tallyhouse.llm.common import slices
 ORDER = 4
 UNKNOWN = "und"
 _SPACE = 32
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 17
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Beyond this length a text's cross-entropy no longer comes closer to its language's mean.
 _STEADY = 400

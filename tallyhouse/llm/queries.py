@@ -28,9 +28,9 @@ def query(sql: str | None = None):
     return register
 
 
-def pieces(docs: DataFrame) -> DataFrame:
+def pieces(docs: DataFrame, plan: packing.Packing = packing.Packing()) -> DataFrame:
     """Packed pieces with the checksum of their ids in place of the ids."""
-    found = packing.packed(docs, WORD_VOCABULARY, end_id=2)
+    found = packing.packed(docs, WORD_VOCABULARY, end_id=2, plan=plan)
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

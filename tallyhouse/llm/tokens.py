@@ -58,9 +58,9 @@ class WordIds(Recent):
     go through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, generation: int = 2 * GENERATION):
         from tokenizers import Tokenizer, pre_tokenizers
-        super().__init__(2 * GENERATION)
+        super().__init__(generation)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -83,6 +83,6 @@ class WordIds(Recent):
 
 
 @lru_cache(maxsize=4)
-def word_ids(path: str) -> WordIds:
-    """The worker's encoder for a vocabulary file."""
-    return WordIds(path)
+def word_ids(path: str, generation: int = 2 * GENERATION) -> WordIds:
+    """The worker's encoder for a vocabulary file; it stays in memory when the task has ended."""
+    return WordIds(path, generation)
