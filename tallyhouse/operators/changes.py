@@ -7,6 +7,7 @@ whole new content, to be written as a new version.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,18 +37,32 @@ def keys_among(target: DataFrame, candidates: DataFrame, keys: Sequence[str]) ->
     return target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
 
 
+def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.dropna(subset=list(keys))
+
+
+def _with_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+
+
 def unknown_rows(source: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source rows, one per key, whose key is not among ``known``."""
-    return one_per_key(source, keys).join(known, list(keys), "left_anti").select(*source.columns)
+    """The source rows whose key is not among ``known``: one per key, and every row with a NULL in its key."""
+    named = one_per_key(without_null_keys(source, keys), keys)
+    return (named.join(known, list(keys), "left_anti").select(*source.columns)
+            .unionByName(_with_null_keys(source, keys)))
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source rows, one per key, whose key the target lacks."""
+    """The source rows whose key the target lacks: one per key, and every row with a NULL in its key."""
     return unknown_rows(source, keys_among(target, source, keys), keys)
 
 
 def merge_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert what is new; matched rows stay as they are. Repeating it adds nothing."""
+    """Insert what is new; matched rows stay as they are.
+
+    A NULL in a key matches nothing, as in SQL: each such row is inserted, and
+    again if the merge is repeated. Rows with whole keys are inserted once.
+    """
     return target.unionByName(new_rows(target, source, keys))
 
 
@@ -56,14 +71,57 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
     return target.filter(~F.coalesce(condition, F.lit(False)))
 
 
+def same_key(keys: Sequence[str], left: str, right: str) -> Column:
+    """Equal keys of the frames aliased ``left`` and ``right``; here NULL is a value."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def restore_rows(target: DataFrame, earlier: DataFrame, keys: Sequence[str],
                  condition: Column) -> DataFrame:
-    """Bring back rows of an earlier state that meet ``condition`` and are gone now."""
-    wanted = earlier.filter(condition)
-    lost = wanted.join(keys_among(target, wanted, keys), list(keys), "left_anti")
+    """Bring back rows of an earlier state that meet ``condition`` and are gone now.
+
+    Both are states of one table, so a NULL key is the same key in both.
+    """
+    wanted, here = earlier.filter(condition).alias("w"), target.select(*keys).alias("t")
+    lost = wanted.join(here, same_key(keys, "w", "t"), "left_anti")
     return target.unionByName(lost.select(*target.columns))
 
 
+def state_of(log: DataFrame, keys: Sequence[str], upto: int) -> DataFrame:
+    """The rows present after version ``upto`` of a log of inserts (op ``I``) and deletes (op ``D``).
+
+    ``log`` has the columns of the table, ``op`` and ``version``; within a
+    version an insert follows a delete. A hash maximum over the keys finds
+    each key's last entry, and only then whole rows are moved.
+    """
+    moment = F.col("version") * 2 + (F.col("op") == "I").cast("long")
+    entries = log.filter(F.col("version") <= upto).withColumn("_moment", moment)
+    last = entries.groupBy(*keys).agg(F.max("_moment").alias("_moment")).filter("_moment % 2 = 1")
+    same = same_key([*keys, "_moment"], "e", "l")
+    rows = [c for c in log.columns if c not in ("op", "version")]
+    return entries.alias("e").join(last.alias("l"), same, "left_semi").select(*rows)
+
+
+def net_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What turns one state into the other, as rows with ``action`` and ``is_update``.
+
+    An update is a DELETE row with the old and an INSERT row with the new
+    content. One full outer join; NULL counts as a value.
+    """
+    rest = [c for c in after.columns if c not in keys]
+    old = before.select(*keys, F.struct(F.lit("DELETE").alias("action"), *rest).alias("_old"))
+    new = after.select(*keys, F.struct(F.lit("INSERT").alias("action"), *rest).alias("_new"))
+    joined = old.alias("o").join(new.alias("n"), same_key(keys, "o", "n"), "full_outer")
+    state = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in rest])
+    both = F.col("_old").isNotNull() & F.col("_new").isNotNull()
+    same = both & state("_old").eqNullSafe(state("_new")) if rest else both
+    feed = F.filter(F.array("_old", "_new"), lambda entry: entry.isNotNull())
+    return (joined.filter(~same)
+            .select(*[F.coalesce(f"o.{k}", f"n.{k}").alias(k) for k in keys], both.alias("is_update"),
+                    F.explode(feed).alias("_e"))
+            .select(*keys, *[F.col(f"_e.{c}").alias(c) for c in rest], "_e.action", "is_update"))
+
+
 def _paired(dimension: DataFrame, updates: DataFrame, key: str,
             columns: Sequence[str]) -> DataFrame:
     """``old_x`` / ``new_x`` columns for every updated key the dimension has."""

@@ -8,13 +8,13 @@ one key owns a third of the feed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tallyhouse.functions.expressions import day_before
-from tallyhouse.operators.changes import one_per_key
+from tallyhouse.operators.changes import one_per_key, same_key
 from tallyhouse.operators.ordering import numbered
+from tallyhouse.session import written
 
 # Fixed value: the expiry date of a version that is still valid.
 OPEN_END = "9999-12-31"
@@ -78,60 +78,77 @@ def _with_replaced(df: DataFrame, column: str, by: Mapping[str, Column]) -> Data
 
 # --- types 2 and 6: applying changes ------------------------------------------
 
-def _placed(current: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
-            last_by: Sequence[str]) -> DataFrame:
-    """Changes, one per key and day, beside the state (``_base``) they meet."""
-    changes = one_per_key(updates.select(key, *tracked, "effective_date", *last_by),
-                          [key, "effective_date"], last_by)
-    base = current.select(key, F.col("effective_date").alias("_since"),
-                          F.struct(*tracked).alias("_base"))
-    return changes.join(base, key, "left")
-
-
-def _split_current(dimension: DataFrame, updates: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Current rows without and with changes for their key.
-
-    Both are plain cuts by the changed keys. Spark broadcasts a small set of
-    keys, and then rows without changes pass through unshuffled.
-    """
-    current, keys = dimension.filter("is_current"), updates.select(key).distinct()
-    return current.join(keys, key, "left_anti"), current.join(keys, key, "left_semi")
+def _folded(updates: DataFrame, key: str, tracked: Sequence[str], last_by: Sequence[str]) -> DataFrame:
+    """One row per key: its changes, at most one per day, in the order of their dates."""
+    daily = one_per_key(updates.select(key, *tracked, "effective_date", *last_by),
+                        [key, "effective_date"], last_by)
+    change = F.struct("effective_date", F.struct(*tracked).alias("state"))
+    return daily.groupBy(key).agg(F.array_sort(F.collect_list(change)).alias("_changes"))
 
 
 def late_changes(dimension: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
                  last_by: Sequence[str] = ()) -> DataFrame:
     """Changes dated on or before the current version: reported, never applied."""
-    _, touched = _split_current(dimension, updates, key)
-    placed = _placed(touched, updates, key, tracked, last_by)
-    return (placed.filter("effective_date <= _since")
-            .select(key, *tracked, "effective_date", F.col("_since").alias("current_since")))
+    since = current_rows(dimension).select(key, F.col("effective_date").alias("current_since")).alias("c")
+    changes = _folded(updates, key, tracked, last_by).alias("u")
+    late = F.filter("_changes", lambda change: change["effective_date"] <= F.col("current_since"))
+    return (since.join(changes, same_key([key], "c", "u"))
+            .select(f"c.{key}", "current_since", F.explode(late).alias("_change"))
+            .select(key, "_change.state.*", "_change.effective_date", "current_since"))
+
 
+def _steps(changes: Column, base: Column) -> Column:
+    """The changes that differ from the state before them; ``base`` is the state before the first."""
+    def differs(change: Column, at: Column) -> Column:
+        return ~change["state"].eqNullSafe(F.coalesce(F.get(changes, at - 1)["state"], base))
+    return F.filter(changes, differs)
 
-def _steps(current: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
-           last_by: Sequence[str]) -> DataFrame:
-    """The versions to add: ``_before`` is the replaced state, ``_next`` the next change date."""
-    placed = (_placed(current, updates, key, tracked, last_by)
-              .filter("_since is null or effective_date > _since"))
-    by_day = Window.partitionBy(key).orderBy("effective_date")
-    state = F.struct(*tracked)
-    before = F.coalesce(F.lag(state).over(by_day), F.col("_base"))
-    return (placed.withColumn("_before", before)
-            .filter(~F.col("_before").eqNullSafe(state))
-            .withColumn("_next", F.lead("effective_date").over(by_day)))
 
+def _version(step: Column, at: Column, steps: Column, base: Column) -> Column:
+    """A step with the state it replaces and the end of its period."""
+    following = F.get(steps, at + 1)["effective_date"]
+    return F.struct(
+        step["state"].alias("state"), F.coalesce(F.get(steps, at - 1)["state"], base).alias("before"),
+        step["effective_date"].alias("effective_date"),
+        F.coalesce(F.date_sub(following, 1), _open_end()).alias("expiry_date"),
+        following.isNull().alias("is_current"))
 
-def _period_of_step() -> dict[str, Column]:
-    return {"expiry_date": F.coalesce(day_before("_next"), _open_end()),
-            "is_current": F.col("_next").isNull()}
 
+def _versions(steps: str, base: Column) -> Column:
+    return F.transform(steps, lambda step, at: _version(step, at, F.col(steps), base))
 
-def _expired(current: DataFrame, steps: DataFrame, key: str) -> DataFrame:
-    """Current rows, closed the day before the first change of their key."""
-    first = steps.groupBy(key).agg(F.min("effective_date").alias("_first"))
-    joined = current.join(first, key, "left")
-    period = {"expiry_date": F.coalesce(day_before("_first"), F.col("expiry_date")),
-              "is_current": F.col("_first").isNull()}
-    return joined.select(*[period.get(c, F.col(c)).alias(c) for c in current.columns])
+
+def _applied(dimension: DataFrame, updates: DataFrame, key: str, tracked: Sequence[str],
+             last_by: Sequence[str], state_before: Column, row_of: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """Current rows meet the folded changes of their key once; a row leaves as it was or closed, with its new versions.
+
+    ``state_before`` is the tracked state of a current row, ``row_of`` gives
+    the columns of a new version. Closed versions pass through without a join.
+    Keys that the dimension lacks start with their first change.
+    """
+    kind = T.StructType([T.StructField(c, updates.schema[c].dataType) for c in tracked])
+    nothing = F.lit(None).cast(kind)
+    changes = _folded(updates, key, tracked, last_by)
+    current = dimension.filter("is_current")
+    met = (current.alias("d").join(changes.alias("u"), same_key([key], "d", "u"), "left")
+           .select("d.*", "_changes").withColumn("_base", state_before.cast(kind))
+           .withColumn("_later", F.filter("_changes", lambda c: c["effective_date"] > F.col("effective_date")))
+           .withColumn("_steps", _steps(F.col("_later"), F.col("_base"))))
+    first = F.get("_steps", F.lit(0))["effective_date"]
+    period = {"expiry_date": F.coalesce(F.date_sub(first, 1), F.col("expiry_date")), "is_current": first.isNull()}
+    own = F.struct(*[period.get(c, F.col(c)).cast(dimension.schema[c].dataType).alias(c) for c in dimension.columns])
+
+    def new_row(version: Column) -> Column:
+        columns = {key: F.col(key), **row_of(version), **{c: version[c] for c in PERIOD}}
+        return F.struct(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in dimension.schema])
+
+    rows = met.select(F.explode(F.concat(F.array(own), F.coalesce(
+        F.transform(_versions("_steps", F.col("_base")), new_row), F.array().cast(T.ArrayType(dimension.schema))))).alias("_row"))
+    starts = (changes.alias("u").join(current.select(key).alias("d"), same_key([key], "u", "d"), "left_anti")
+              .withColumn("_steps", _steps(F.col("_changes"), nothing))
+              .select(key, F.explode(_versions("_steps", nothing)).alias("_v")).select(new_row(F.col("_v")).alias("_row")))
+    return (dimension.filter(~F.col("is_current"))
+            .unionByName(rows.select("_row.*")).unionByName(starts.select("_row.*")))
 
 
 def _require_known(dimension: DataFrame, known: Sequence[str]) -> None:
@@ -147,18 +164,12 @@ def apply_versions(dimension: DataFrame, updates: DataFrame, key: str, tracked:
 
     A batch may hold several changes per key. A change equal to the state
     before it adds no version, so a repeated batch changes nothing; keys new
-    to the dimension simply start. Closed versions are passed through without
-    a join. A ``surrogate`` column stays empty in new versions, for
-    :func:`fill_surrogates`.
+    to the dimension simply start. NULL is a key like any other. A
+    ``surrogate`` column stays empty in new versions, for :func:`fill_surrogates`.
     """
     _require_known(dimension, [key, *tracked, *PERIOD, surrogate])
-    untouched, touched = _split_current(dimension, updates, key)
-    steps = _steps(touched, updates, key, tracked, last_by)
-    added = steps.select(key, *tracked, "effective_date",
-                         *[e.alias(n) for n, e in _period_of_step().items()])
-    return (dimension.filter(~F.col("is_current"))
-            .unionByName(untouched).unionByName(_expired(touched, steps, key))
-            .unionByName(added, allowMissingColumns=True).select(*dimension.columns))
+    return _applied(dimension, updates, key, tracked, last_by, F.struct(*tracked),
+                    lambda version: {c: version["state"][c] for c in tracked})
 
 
 def apply_hybrid(dimension: DataFrame, updates: DataFrame, key: str, column: str,
@@ -168,24 +179,17 @@ def apply_hybrid(dimension: DataFrame, updates: DataFrame, key: str, column: str
 
     The closed version keeps its own current value.
     """
-    _require_known(dimension, [key, *others, *PERIOD, surrogate, f"current_{column}",
-                               f"previous_{column}", f"historical_{column}"])
-    tracked = [column, *others]
-    untouched, touched = _split_current(dimension, updates, key)
-    as_was = touched.withColumnRenamed(f"current_{column}", column)
-    steps = _steps(as_was, updates, key, tracked, last_by)
-    added = steps.select(
-        key, *others, F.col(column).alias(f"current_{column}"),
-        F.col(f"_before.{column}").alias(f"previous_{column}"),
-        F.col(column).alias(f"historical_{column}"), "effective_date",
-        *[e.alias(n) for n, e in _period_of_step().items()])
-    return (dimension.filter(~F.col("is_current"))
-            .unionByName(untouched).unionByName(_expired(touched, steps, key))
-            .unionByName(added, allowMissingColumns=True).select(*dimension.columns))
+    current, previous, historical = (f"{when}_{column}" for when in ("current", "previous", "historical"))
+    _require_known(dimension, [key, *others, *PERIOD, surrogate, current, previous, historical])
+    before = F.struct(F.col(current).alias(column), *others)
+    return _applied(dimension, updates, key, [column, *others], last_by, before, lambda version: {
+        **{c: version["state"][c] for c in others}, current: version["state"][column],
+        previous: version["before"][column], historical: version["state"][column]})
 
 
 def fill_surrogates(dimension: DataFrame, surrogate: str, order: Sequence[str]) -> DataFrame:
     """Number the versions that have no surrogate yet, after the largest one given."""
+    dimension = written(dimension, "versions")  # read three times below
     held = dimension.filter(F.col(surrogate).isNotNull())
     bare = dimension.filter(F.col(surrogate).isNull()).drop(surrogate)
     largest = held.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("long").alias("n"))

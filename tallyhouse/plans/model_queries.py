@@ -124,7 +124,7 @@ def snowflake_category_revenue(w: Warehouse):
 
 
 @query(f"""SELECT region AS region_name, count(DISTINCT customer_id) AS customers,
-    count(*) AS total_transactions, CAST(sum(quantity) AS BIGINT) AS units_sold, {SUM_LINES}
+    count(*) AS total_transactions, CAST(sum(quantity) AS DOUBLE) AS units_sold, {SUM_LINES}
     FROM v_sales JOIN v_customers USING (customer_id) GROUP BY region""")
 def snowflake_regional_dashboard(w: Warehouse):
     flake = snowflake_of(w)

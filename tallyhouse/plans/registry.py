@@ -52,12 +52,16 @@ class Warehouse:
         return self._staged[name]
 
     def _placed(self, df: DataFrame, nation_key: str) -> DataFrame:
-        """Nation and region are put together first, so the big table meets one small one."""
+        """Nation and region are put together first, so the big table meets one small one.
+
+        A row whose nation is unknown stays, without state and region.
+        """
         nation = self.table("nation").select(
             F.col("n_nationkey").alias(nation_key), F.col("n_name").alias("state"), "n_regionkey")
         region = self.table("region").select(
             F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
-        return df.join(nation.join(region, "n_regionkey").drop("n_regionkey"), nation_key)
+        placed = nation.join(region, "n_regionkey", "left").drop("n_regionkey")
+        return df.join(placed, nation_key, "left")
 
     def customer_names(self) -> DataFrame:
         return self.table("customer").select(
@@ -105,7 +109,7 @@ class Warehouse:
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"),
             F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("branch_id"),
             F.col("l_shipdate").cast("date").alias("ship_date"),
-            F.col("l_quantity").cast("long").alias("quantity"),
+            F.col("l_quantity").cast("decimal(15,2)").alias("quantity"),
             cents("l_extendedprice").alias("total_amount"))
 
     def sales_per_order(self) -> DataFrame:
@@ -120,9 +124,14 @@ class Warehouse:
         return per_order.join(self.orders(), "order_id")
 
 
+#: Sums of quantities, which are exact decimals until the end.
+QUANTITIES = ("total_quantity", "units_sold")
+
+
 def amounts(df: DataFrame, *columns: str) -> DataFrame:
-    """Amounts in cents as doubles, once the exact sums are final."""
-    return df.withColumns({c: from_cents(c) for c in columns})
+    """Amounts in cents, and quantities, as doubles, once the exact sums are final."""
+    units = {c: F.col(c).cast("double") for c in QUANTITIES if c in df.columns}
+    return df.withColumns({c: from_cents(c) for c in columns} | units)
 
 
 def whole(df: DataFrame, *columns: str) -> DataFrame:
@@ -136,7 +145,7 @@ _SOURCES = {
         CAST(o_totalprice AS DECIMAL(15,2)) AS order_amount FROM orders""",
     "v_lines": """SELECT l_orderkey AS order_id, l_linenumber AS line_number,
         l_partkey AS product_id, l_suppkey AS branch_id, CAST(l_shipdate AS DATE) AS ship_date,
-        CAST(l_quantity AS BIGINT) AS quantity,
+        CAST(l_quantity AS DECIMAL(15,2)) AS quantity,
         CAST(l_extendedprice AS DECIMAL(15,2)) AS total_amount FROM lineitem""",
     "v_sales": """SELECT o.customer_id, o.sale_date, o.status, o.order_amount, l.*
         FROM v_lines l JOIN v_orders o ON o.order_id = l.order_id""",
@@ -144,14 +153,14 @@ _SOURCES = {
         r_name AS region, CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 3000 THEN 'Bronze'
         WHEN c_acctbal < 6000 THEN 'Silver' WHEN c_acctbal < 9000 THEN 'Gold'
         ELSE 'Platinum' END AS membership, c_mktsegment AS segment
-        FROM customer JOIN nation ON n_nationkey = c_nationkey
-        JOIN region ON r_regionkey = n_regionkey""",
+        FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+        LEFT JOIN region ON r_regionkey = n_regionkey""",
     "v_products": """SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
         p_brand AS brand, CAST(p_retailprice AS DECIMAL(15,2)) AS price FROM part""",
     "v_branches": """SELECT s_suppkey AS branch_id, s_name AS branch_name, n_name AS state,
         r_name AS region, CAST(s_acctbal AS DECIMAL(15,2)) AS balance
-        FROM supplier JOIN nation ON n_nationkey = s_nationkey
-        JOIN region ON r_regionkey = n_regionkey""",
+        FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey
+        LEFT JOIN region ON r_regionkey = n_regionkey""",
     "v_days": """SELECT CAST(d AS DATE) AS date, CAST(row_number() OVER (ORDER BY d) AS BIGINT) AS date_id
         FROM (SELECT unnest(generate_series(min(sale_date)::TIMESTAMP, max(sale_date)::TIMESTAMP,
         INTERVAL 1 DAY)) AS d FROM v_orders)""",

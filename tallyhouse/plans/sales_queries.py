@@ -22,7 +22,7 @@ SUM_ORDERS = "CAST(sum(order_amount) AS DOUBLE) AS total_revenue"
 
 # --- totals -------------------------------------------------------------------
 
-@query("""SELECT CAST(sum(quantity) AS BIGINT) AS total_quantity,
+@query("""SELECT CAST(sum(quantity) AS DOUBLE) AS total_quantity,
     CAST(sum(total_amount) AS DOUBLE) AS total_revenue FROM v_lines""")
 def total_revenue(w: Warehouse):
     both = {"total_quantity": ("sum", "quantity"), "total_revenue": ("sum", "total_amount")}
@@ -93,7 +93,7 @@ def region_revenue_by_branch(w: Warehouse):
 
 
 @query(f"""SELECT region, count(DISTINCT customer_id) AS customers, count(*) AS total_transactions,
-    CAST(sum(quantity) AS BIGINT) AS units_sold, {SUM_LINES}
+    CAST(sum(quantity) AS DOUBLE) AS units_sold, {SUM_LINES}
     FROM v_sales JOIN v_customers USING (customer_id) GROUP BY region""")
 def regional_dashboard(w: Warehouse):
     return amounts(reports.revenue_per_attribute(
@@ -102,7 +102,7 @@ def regional_dashboard(w: Warehouse):
 
 
 @query(f"""SELECT product_id, product_name, category, brand, count(*) AS total_transactions,
-    CAST(sum(quantity) AS BIGINT) AS units_sold, {SUM_LINES}
+    CAST(sum(quantity) AS DOUBLE) AS units_sold, {SUM_LINES}
     FROM v_lines JOIN v_products USING (product_id) GROUP BY ALL""")
 def product_dashboard(w: Warehouse):
     return amounts(reports.revenue_per_entity(
@@ -111,7 +111,7 @@ def product_dashboard(w: Warehouse):
 
 
 @query(f"""SELECT branch_id, branch_name, state, region, count(*) AS total_transactions,
-    CAST(sum(quantity) AS BIGINT) AS units_sold, {SUM_LINES}
+    CAST(sum(quantity) AS DOUBLE) AS units_sold, {SUM_LINES}
     FROM v_lines JOIN v_branches USING (branch_id) GROUP BY ALL""")
 def branch_dashboard(w: Warehouse):
     return amounts(reports.revenue_per_entity(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,20 +30,12 @@ def build_session(app_name: str = "tallyhouse", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one under the warehouse.
 
-    Only a local session may fall back to a temporary folder: on a cluster
-    such a folder would be out of the other machines' reach.
+    Both are reached by all executors of a cluster; a temporary folder is not.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-"))
-    return context.getCheckpointDir().rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored").rstrip("/")
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
