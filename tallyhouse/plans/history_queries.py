@@ -73,14 +73,19 @@ def truncate_reload(w: Warehouse):
 _ORDER_COLUMNS = "order_id, customer_id, sale_date, status, CAST(order_amount AS DOUBLE) AS order_amount"
 
 
-@query(f"""SELECT {_ORDER_COLUMNS} FROM v_orders WHERE sale_date < DATE '2000-01-01' UNION ALL
-    SELECT {_ORDER_COLUMNS} FROM v_orders WHERE sale_date >= DATE '2000-01-01'""")
+@query(f"""SELECT {_ORDER_COLUMNS} FROM v_orders UNION ALL
+    SELECT NULL, customer_id, sale_date, status, CAST(order_amount AS DOUBLE) FROM v_orders
+    WHERE sale_date >= DATE '1999-07-01' AND status = 'P'""")
 def merge_insert(w: Warehouse):
-    """A batch that overlaps the history by half a year, merged on the order id."""
+    """A batch that overlaps the history by half a year, merged on the order id.
+
+    Its pending orders come once more without an id; each of them is inserted.
+    """
     orders = w.orders()
     held = orders.filter("sale_date < date '2000-01-01'")
     batch = orders.filter("sale_date >= date '1999-07-01'")
-    return amounts(changes.merge_insert(held, batch, ["order_id"]), "order_amount")
+    nameless = batch.filter("status = 'P'").withColumn("order_id", F.lit(None).cast("long"))
+    return amounts(changes.merge_insert(held, batch.unionByName(nameless), ["order_id"]), "order_amount")
 
 
 @query("SELECT count(*) AS new_records FROM v_orders WHERE sale_date >= DATE '2000-01-01'")
@@ -98,11 +103,13 @@ def delete_where(w: Warehouse):
     return amounts(changes.delete_where(w.orders(), stale), "order_amount")
 
 
-@query(f"SELECT {_ORDER_COLUMNS} FROM v_orders")
+@query(f"""SELECT {_ORDER_COLUMNS}, status = 'P' AND sale_date < DATE '1997-01-01' AS restored FROM v_orders""")
 def restore_rows(w: Warehouse):
+    """Restored rows carry a mark."""
     stale = (F.col("status") == "P") & (F.col("sale_date") < F.lit("1997-01-01").cast("date"))
-    left = changes.delete_where(w.orders(), stale)
-    return amounts(changes.restore_rows(left, w.orders(), ["order_id"], stale), "order_amount")
+    left = changes.delete_where(w.orders(), stale).withColumn("restored", F.lit(False))
+    earlier = w.orders().withColumn("restored", F.lit(True))
+    return amounts(changes.restore_rows(left, earlier, ["order_id"], stale), "order_amount")
 
 
 # --- change reports and type 1 ----------------------------------------------------------
@@ -169,6 +176,13 @@ def scd2_history(w: Warehouse):
             .orderBy("customer_id", "effective_date"))
 
 
+@query(f"""SELECT customer_id, membership, {_PERIOD} FROM v_versions WHERE customer_id IN (7, 42, 99)""")
+def scd2_history_of_keys(w: Warehouse):
+    """The versions of three customers, oldest first."""
+    return (history.history_of(versions(w), "customer_id", [7, 42, 99])
+            .select("customer_id", "membership", *history.PERIOD))
+
+
 @query(f"""SELECT {_STATE}, effective_date, expiry_date FROM v_versions
     WHERE DATE '1999-06-30' BETWEEN effective_date AND expiry_date""")
 def scd2_as_of(w: Warehouse):

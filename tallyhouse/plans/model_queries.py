@@ -170,20 +170,20 @@ _CUSTOMER_FILE = columns(customer_id=LONG, customer_name=TEXT, membership=TEXT,
                          balance=T.DecimalType(15, 2))
 
 
-@query("""SELECT c_custkey AS customer_id, c_name || ', ' || c_mktsegment AS customer_name, membership,
+@query("""SELECT c_custkey AS customer_id, c_name || ', "' || c_mktsegment || '"' AS customer_name, membership,
     CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance
     FROM customer JOIN v_customers ON customer_id = c_custkey""")
 def csv_load_quoted(w: Warehouse):
-    """Quoted fields and both null tokens, one of them in a number column."""
+    """Quoted fields with doubled quotes and both null tokens, one of them in a number column."""
     path = new_table_path(w.spark, "customers-csv")
     balance = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("decimal(15,2)").cast("string"))
     raw = w.table("customer").select(
         F.col("c_custkey").alias("customer_id"),
-        F.concat("c_name", F.lit(", "), "c_mktsegment").alias("customer_name"),
+        F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"')).alias("customer_name"),
         F.coalesce(balance, F.lit("null")).alias("balance"))
     tiers = w.customers().select("customer_id", F.coalesce("membership", F.lit("NULL")).alias("membership"))
     (raw.join(tiers, "customer_id").select("customer_id", "customer_name", "membership", "balance")
-     .write.option("header", True).option("quote", '"').csv(path))
+     .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
     loaded = read_table(w.spark, path, _CUSTOMER_FILE, quote='"', null_tokens=NULL_TOKENS)
     return loaded.withColumn("balance", F.col("balance").cast("double"))
 

@@ -1,58 +1,76 @@
-"""Loading newly arrived files into a ledger, each row once."""
+"""Loading newly arrived files into a keyed Parquet table, each key once.
+
+The table is a folder with one subfolder per batch, ``batch=<stream>-<number>``.
+A batch that is repeated after a failure replaces its own subfolder and so
+changes nothing; other writers may add subfolders of their own.
+"""
 
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tallyhouse.operators.changes import unknown_rows
-from tallyhouse.operators.ledger import Ledger
+from tallyhouse.operators.changes import keys_among, unknown_rows
+from tallyhouse.session import written
 
+_START = "start"
 
-def merge_batch(ledger: Ledger, rows: DataFrame, batch: str) -> int:
-    """Insert the rows whose key the table lacks, once per batch name; returns the version.
 
-    A batch that was committed before is left alone. One that failed before
-    its commit is written anew under the same version number.
-    """
-    done = ledger.version_of(batch)
-    if done is not None:
-        return done
-    held = ledger.live_keys(among=rows)
-    return ledger.commit(inserts=unknown_rows(rows, held, ledger.keys), batch=batch, fresh=True)
+def _stored(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """All batches; an empty one is written first, so that a new table can be read."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/batch={_START}")
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
+    return spark.read.schema(whole).parquet(target)
 
 
-def _stream_id(spark: SparkSession, progress: str) -> str:
-    """The id Spark gave to the stream that keeps its progress in this folder."""
-    return json.loads(spark.read.text(f"{progress}/metadata").first()[0])["id"]
+def loaded_rows(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    return _stored(spark, target, schema).drop("batch")
+
 
+def loaded_per_batch(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """How many rows each batch inserted."""
+    return _stored(spark, target, schema).groupBy("batch").agg(F.count(F.lit(1)).alias("inserted_rows"))
 
-def load_new_files(spark: SparkSession, source: str, ledger: Ledger, progress: str, *,
-                   file_format: str = "parquet", options: dict[str, str] | None = None,
-                   files_per_batch: int | None = None) -> int:
-    """Take in the files that arrived since the last call; returns the batches run.
 
-    This is the body of a daily job: call it from any scheduler. ``progress``
-    is the stream's checkpoint folder. Stream id and batch number name the
-    commit, so a batch repeated after a failure is recognised, and the ledger
-    may hold other commits before, between and after.
+def merge_batch(rows: DataFrame, target: str, schema: T.StructType, keys: Sequence[str], batch: str) -> bool:
+    """Insert the rows whose key the other batches lack, one per key; False for a batch without rows.
+
+    The batch is stored once and read from there. A NULL in a key stops the load.
+    """
+    spark = rows.sparkSession
+    staged = written(rows.select(*schema.fieldNames()), "batch")
+    if staged.isEmpty():
+        return False
+    if staged.count() > staged.dropna(subset=list(keys)).count():
+        raise ValueError(f"a row of batch {batch} has no key")
+    others = _stored(spark, target, schema).filter(F.col("batch") != batch)
+    fresh = unknown_rows(staged, keys_among(others, staged, keys), keys)
+    fresh.write.mode("overwrite").parquet(f"{target}/batch={batch}")
+    return True
+
+
+def load_new_files(stream: DataFrame, target: str, keys: Sequence[str], progress: str) -> int:
+    """Take in what arrived since the last call; returns the number of batches that held rows.
+
+    ``stream`` is a streaming DataFrame, for instance of
+    :func:`tallyhouse.sources.delimited.stream_table`; ``progress`` is its
+    checkpoint folder. This is the body of a daily job: call it from any scheduler.
     """
-    reader = spark.readStream.format(file_format).schema(ledger.schema).options(**(options or {}))
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    schema, done = stream.schema, []
 
     def take_in(rows: DataFrame, number: int) -> None:
-        session = rows.sparkSession
-        own = Ledger(session, ledger.path, ledger.schema, ledger.keys)
-        merge_batch(own, rows.select(*own.schema.fieldNames()), f"{_stream_id(session, progress)}/{number}")
+        batch = f"{_stream_id(rows.sparkSession, progress)}-{number}"
+        if merge_batch(rows, target, schema, keys, batch):
+            done.append(number)
 
-    query = (reader.load(source).writeStream.foreachBatch(take_in)
-             .option("checkpointLocation", progress).trigger(availableNow=True).start())
+    query = (stream.writeStream.foreachBatch(take_in).option("checkpointLocation", progress)
+             .trigger(availableNow=True).start())
     query.awaitTermination()
-    return len([p for p in query.recentProgress if p["numInputRows"] > 0])
+    return len(done)
 
 
-def loaded_per_version(ledger: Ledger) -> DataFrame:
-    """How many rows each load inserted."""
-    return ledger.entries().groupBy("version").agg(F.count(F.lit(1)).alias("inserted_rows"))
+def _stream_id(spark: SparkSession, progress: str) -> str:
+    """The id Spark gave to the stream that keeps its progress in this folder."""
+    return json.loads(spark.read.text(f"{progress}/metadata").first()[0])["id"]

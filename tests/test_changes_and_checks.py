@@ -8,6 +8,7 @@ from tallyhouse.operators import changes, quality
 from tallyhouse.operators.dimensions import extract_lookup, normalise_dimension
 from tallyhouse.operators.totals import count_per_entity, totals_by_attribute
 from tallyhouse.session import new_table_path, shared_folder
+from tallyhouse.operators.stored_totals import add_totals, read_totals
 from tallyhouse.sources.delimited import NULL_TOKENS, read_table
 from tallyhouse.sources.tables import append_rows, literal_rows, replace_rows
 
@@ -95,6 +96,62 @@ def test_loader_rejects_bad_numbers(spark, tmp_path):
     assert picked.count() == 2
 
 
+@pytest.mark.parametrize("bad", ["2,bad", "3,7,8", "4"])
+@pytest.mark.parametrize("tokens", [(), NULL_TOKENS])
+def test_a_malformed_record_stops_every_use(spark, tmp_path, bad, tokens):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.IntegerType())])
+    (tmp_path / "a.csv").write_text(f"x,y\n1,5\n{bad}\n")
+    loaded = read_table(spark, str(tmp_path / "a.csv"), schema, quote='"', null_tokens=tokens)
+    for use in (loaded.count, loaded.collect, loaded.select("id").collect, loaded.groupBy().count().collect):
+        with pytest.raises(Exception):
+            use()
+
+
+def test_doubled_quotes_and_lines_in_fields(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
+    (tmp_path / "a.csv").write_text('x,y\n1,"say ""hi"", ok"\n2,"two\nlines"\n')
+    loaded = read_table(spark, str(tmp_path / "a.csv"), schema, quote='"', multi_line=True)
+    assert both(loaded) == [(1, 'say "hi", ok'), (2, "two\nlines")]
+
+
+def test_rows_without_a_key(spark):
+    """A NULL in a key matches nothing in a merge; between two states of one table it is a value."""
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, v string")
+    target = rows((1, "a"), (None, "held"))
+    batch = rows((None, "x"), (None, "x"), (None, "y"), (1, "again"), (2, "new"), (2, "new"))
+    once = changes.merge_insert(target, batch, ["id"])
+    assert sorted(both(once), key=repr) == sorted([(1, "a"), (2, "new"), (None, "held"), (None, "x"), (None, "x"), (None, "y")], key=repr)
+    assert changes.merge_insert(once, batch, ["id"]).filter("id is not null").count() == 2
+    left = changes.delete_where(target, F.col("v") == "held")
+    assert sorted(both(changes.restore_rows(left, target, ["id"], F.lit(True))), key=repr) == sorted(both(target), key=repr)
+    assert both(changes.restore_rows(target, target, ["id"], F.lit(True))) == both(target)
+
+
+def test_states_and_net_changes(spark):
+    log = spark.createDataFrame(
+        [(1, "a", "I", 1), (2, "b", "I", 1), (3, None, "I", 1), (None, "n", "I", 1), (1, None, "D", 2), (2, None, "D", 2),
+         (2, "B", "I", 2), (1, "a", "I", 3), (4, "d", "I", 3)], "id int, v string, op string, version long")
+    states = {n: changes.state_of(log, ["id"], n) for n in range(4)}
+    as_set = lambda df: set(map(tuple, df.collect()))
+    assert as_set(states[2]) == {(2, "B"), (3, None), (None, "n")}
+    assert as_set(states[3]) == {(1, "a"), (2, "B"), (3, None), (4, "d"), (None, "n")}
+    for first in range(4):
+        for last in range(first, 4):
+            feed = changes.net_changes(states[first], states[last], ["id"]).collect()
+            assert {(r.id, r.v) for r in feed if r.action == "DELETE"} == as_set(states[first]) - as_set(states[last])
+            assert {(r.id, r.v) for r in feed if r.action == "INSERT"} == as_set(states[last]) - as_set(states[first])
+            assert all(r.is_update == (r.id == 2) for r in feed if (first, last) == (1, 2) and r.id != 1)
+
+
+def test_stored_totals(spark):
+    sales = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    path, measures = new_table_path(spark, "sums"), {"total": ("sum", "v"), "n": ("count", "v")}
+    add_totals(sales, path, ["k"], measures, "1")
+    for _ in range(2):
+        add_totals(sales.filter("k = 'b'"), path, ["k"], measures, "2")
+    assert both(read_totals(spark, path, ["k"], list(measures))) == [("a", 3, 2), ("b", 6, 2)]
+
+
 def test_writes(spark, people):
     path = new_table_path(spark, "people")
     assert path.startswith(shared_folder(spark))

@@ -175,3 +175,24 @@ def test_version_faults(spark):
     assert table(history.version_faults(bad, "id"), "id", "fault") == [
         (1, "overlapping versions"), (2, "not exactly one current version"),
         (2, "overlapping versions"), (3, "expiry before start"), (3, "not exactly one current version")]
+
+
+def test_null_is_a_key_of_versions(spark):
+    """Applied twice, a batch with a NULL key and several changes a key adds nothing the second time."""
+    d = lambda n: date(2020, 1, n)
+    start = history.start_versions(spark.createDataFrame([(1, "a"), (None, "n"), (3, None)], "id int, v string"), "2019-01-01")
+    batch = spark.createDataFrame([(None, "m", d(2)), (1, "a", d(3)), (1, "b", d(4)), (1, "b", d(5)), (1, "c", d(6)),
+                                   (2, "new", d(7)), (3, None, d(8)), (None, "m", d(9))], "id int, v string, effective_date date")
+    once = history.apply_versions(start, batch, "id", ["v"])
+    rows = sorted(map(tuple, once.select("id", "v", "effective_date", "expiry_date", "is_current").collect()), key=repr)
+    assert rows == sorted([
+        (1, "a", date(2019, 1, 1), d(3), False), (1, "b", d(4), d(5), False), (1, "c", d(6), OPEN, True),
+        (2, "new", d(7), OPEN, True), (3, None, date(2019, 1, 1), OPEN, True),
+        (None, "n", date(2019, 1, 1), d(1), False), (None, "m", d(2), OPEN, True)], key=repr)
+    twice = history.apply_versions(once, batch, "id", ["v"])
+    assert sorted(map(tuple, twice.select(once.columns).collect()), key=repr) == sorted(map(tuple, once.collect()), key=repr)
+    hybrid = history.start_hybrid(spark.createDataFrame([(None, "n")], "id int, v string"), "v", "2019-01-01")
+    first = history.apply_hybrid(hybrid, batch.filter("id is null"), "id", "v")
+    second = history.apply_hybrid(first, batch.filter("id is null"), "id", "v")
+    assert sorted(map(tuple, first.collect()), key=repr) == sorted(map(tuple, second.collect()), key=repr)
+    assert first.filter("is_current").select("previous_v").first()[0] == "n"

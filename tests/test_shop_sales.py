@@ -5,9 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import changes, ordering, quality
-from tallyhouse.operators.ledger import Ledger
 from tallyhouse.plans import model, reports
-from tallyhouse.session import new_table_path
 from tallyhouse.sources.delimited import read_table
 from tallyhouse.sources.tables import literal_rows
 
@@ -73,28 +71,28 @@ def test_merge_twice(shop):
     assert column(spent, "total_revenue") == [85000, 62000, 63000, 7000, 49000]
 
 
-def test_ledger_story(spark, shop):
-    ledger = Ledger.create(spark, new_table_path(spark, "shop"), model.SALES, ["sales_id"])
-    loaded = ledger.commit(inserts=shop["history"])
-    merged = ledger.commit(inserts=changes.new_rows(ledger.snapshot(), shop["new"], ["sales_id"]))
-    feed = ledger.changes(loaded)
+def test_states_and_feed(spark, shop):
+    """Load, merge, delete sale 10, bring it back; then one sale more in a what-if copy of the log."""
+    def entries(df, version, op="I"):
+        return df.withColumns({"op": F.lit(op), "version": F.lit(version).cast("long")})
+
+    key = ["sales_id"]
+    log = entries(shop["history"], 1)
+    log = log.unionByName(entries(changes.new_rows(changes.state_of(log, key, 1), shop["new"], key), 2))
+    feed = changes.net_changes(changes.state_of(log, key, 1), changes.state_of(log, key, 2), key)
     assert sorted(column(feed, "sales_id")) == [6, 7, 8, 9, 10]
     assert {(r.action, r.is_update) for r in feed.collect()} == {("INSERT", False)}
 
-    gone = ledger.snapshot().filter("sales_id = 10")
-    ledger.commit(deletes=gone)
-    assert ledger.snapshot().count() == 9
-    back = ledger.snapshot(merged).filter("sales_id = 10")
-    ledger.commit(inserts=back)
-    assert ledger.snapshot().count() == 10
-    assert sorted(column(ledger.changes(loaded), "sales_id")) == [6, 7, 8, 9, 10]
-    assert ledger.changes(merged).count() == 0
+    tenth = changes.state_of(log, key, 2).filter("sales_id = 10")
+    log = log.unionByName(entries(tenth, 3, "D"))
+    assert changes.state_of(log, key, 3).count() == 9
+    log = log.unionByName(entries(tenth, 4))
+    assert changes.state_of(log, key, 4).count() == 10
+    assert changes.net_changes(changes.state_of(log, key, 2), changes.state_of(log, key, 4), key).count() == 0
 
-    copy = ledger.branch(new_table_path(spark, "shop-copy"))
     from datetime import date
     from decimal import Decimal
-    copy.commit(inserts=literal_rows(
-        spark, [(11, 1, 105, 1, 2, date(2026, 7, 11), Decimal(24000))], model.SALES))
-    assert (copy.snapshot().count(), ledger.snapshot().count()) == (11, 10)
-    assert copy.snapshot().filter("sales_id = 11").count() == 1
-    assert copy.snapshot(loaded).count() == 5
+    more = literal_rows(spark, [(11, 1, 105, 1, 2, date(2026, 7, 11), Decimal(24000))], model.SALES)
+    copy = log.unionByName(entries(more, 5))
+    assert (changes.state_of(copy, key, 5).count(), changes.state_of(log, key, 5).count()) == (11, 10)
+    assert changes.state_of(copy, key, 1).count() == 5
