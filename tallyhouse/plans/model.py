@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -13,6 +13,7 @@ from tallyhouse.operators.dimensions import (
     add_parent, extract_lookup, flatten_dimension, normalise_dimension)
 from tallyhouse.operators.joins import union_all
 from tallyhouse.operators.quality import key_report, orphan_counts, row_counts
+from tallyhouse.session import written
 from tallyhouse.sources.delimited import NULL_TOKENS, read_table
 
 
@@ -118,6 +119,15 @@ def load_star(spark: SparkSession, files: Mapping[str, str], quote: str = '"',
                 loaded["dim_date"], loaded["fact_sales"])
 
 
+def stored_property(build):
+    """A lookup that is built when first used, stored, and read from there by every other part."""
+    @wraps(build)
+    def once(self) -> DataFrame:
+        return written(build(self), build.__name__.strip("_"))
+
+    return cached_property(once)
+
+
 class Snowflake:
     """The star's dimensions split into lookup chains; each part is built when first used.
 
@@ -132,7 +142,7 @@ class Snowflake:
 
     # --- places: region, state, city -------------------------------------------------
 
-    @cached_property
+    @stored_property
     def _states(self) -> DataFrame:
         """Each state with its region: as the dimensions say, else by the fixed list."""
         holders = [d for d in (self.star.branch, self.star.customer) if "region" in d.columns]
@@ -146,15 +156,15 @@ class Snowflake:
         return self.star.branch.select("city", "state").unionByName(
             self.star.customer.select("city", "state"))
 
-    @cached_property
+    @stored_property
     def _region_ids(self) -> DataFrame:
         return extract_lookup(self._states.filter("region is not null"), ["region"], "region_id")
 
-    @cached_property
+    @stored_property
     def _state_ids(self) -> DataFrame:
         return extract_lookup(self._states, ["state", "region"], "state_id")
 
-    @cached_property
+    @stored_property
     def _city_ids(self) -> DataFrame:
         return extract_lookup(self._places, ["city", "state"], "city_id")
 
@@ -174,11 +184,11 @@ class Snowflake:
 
     # --- products: category, brand ---------------------------------------------------
 
-    @cached_property
+    @stored_property
     def _category_ids(self) -> DataFrame:
         return extract_lookup(self.star.product, ["category"], "category_id")
 
-    @cached_property
+    @stored_property
     def _brand_ids(self) -> DataFrame:
         return extract_lookup(self.star.product, ["brand", "category"], "brand_id")
 
@@ -193,15 +203,15 @@ class Snowflake:
 
     # --- calendar: year, quarter, month ----------------------------------------------
 
-    @cached_property
+    @stored_property
     def _year_ids(self) -> DataFrame:
         return extract_lookup(self.star.date, ["year"], "year_id")
 
-    @cached_property
+    @stored_property
     def _quarter_ids(self) -> DataFrame:
         return extract_lookup(self.star.date, ["year", "quarter"], "quarter_id")
 
-    @cached_property
+    @stored_property
     def _month_ids(self) -> DataFrame:
         return extract_lookup(self.star.date, ["year", "quarter", "month"], "month_id")
 

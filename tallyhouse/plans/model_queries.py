@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from uuid import uuid4
 
-from tallyhouse.operators import dimensions
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from tallyhouse.operators import dimensions, quality
+from tallyhouse.operators.joins import union_all
 from tallyhouse.plans import reports
-from tallyhouse.plans.model import LONG, TEXT, Snowflake, Star, columns
+from tallyhouse.plans.model import LONG, STAR, TEXT, Snowflake, Star, columns, load_star
 from tallyhouse.plans.registry import Warehouse, amounts, query, whole
-from tallyhouse.plans.sales_queries import SUM_LINES, SUM_ORDERS
+from tallyhouse.plans.sales_queries import (
+    FOLDED_DASHBOARD, LINE_DASHBOARD, STRAYS, SUM_LINES, SUM_ORDERS, lines_with_strays)
 from tallyhouse.session import new_table_path, written
 from tallyhouse.sources.delimited import NULL_TOKENS, read_table
 
@@ -24,7 +28,8 @@ def star_of(w: Warehouse) -> Star:
     dates = written(w.dates(), "dates")
     numbered = dates.select("date_id", F.col("date").alias("sale_date"))
     orders = w.orders().select("order_id", "customer_id", "sale_date")
-    sales = (w.lines().join(orders, "order_id").join(numbered, "sale_date")
+    # A sale without a known order or date stays, so that the reference checks can find it.
+    sales = (w.lines().join(orders, "order_id", "left").join(numbered, "sale_date", "left")
              .select("order_id", "customer_id", "product_id", "branch_id", "date_id",
                      "quantity", "total_amount"))
     return Star(customers, w.products(), branches, dates, sales)
@@ -127,10 +132,15 @@ def snowflake_category_revenue(w: Warehouse):
     count(*) AS total_transactions, CAST(sum(quantity) AS DOUBLE) AS units_sold, {SUM_LINES}
     FROM v_sales JOIN v_customers USING (customer_id) GROUP BY region""")
 def snowflake_regional_dashboard(w: Warehouse):
-    flake = snowflake_of(w)
     return amounts(reports.revenue_per_attribute(
-        flake.sales, flake.customer_flat(), "customer_id", ["region_name"],
-        reports.dashboard(sale="order_id"), count_keys_as="customers"), "total_revenue")
+        w.sales_per_order(), snowflake_of(w).customer_flat(), "customer_id", ["region_name"],
+        FOLDED_DASHBOARD, count_keys_as="customers"), "total_revenue")
+
+
+def dated_orders(w: Warehouse, flake: Snowflake) -> DataFrame:
+    """Sales folded per order, with the number of their date."""
+    numbered = flake.star.date.select("date_id", F.col("date").alias("sale_date"))
+    return w.sales_per_order().join(numbered, "sale_date", "left")
 
 
 @query(f"""SELECT year AS year_value, month AS month_name, {SUM_LINES} FROM v_sales
@@ -138,15 +148,59 @@ def snowflake_regional_dashboard(w: Warehouse):
 def snowflake_monthly_revenue(w: Warehouse):
     flake = snowflake_of(w)
     return whole(amounts(reports.revenue_per_period(
-        flake.sales, flake.date_flat(), "date_id", ["year_value", "month_name"]), "total_revenue"),
+        dated_orders(w, flake), flake.date_flat(), "date_id", ["year_value", "month_name"]), "total_revenue"),
+        "year_value")
+
+
+@query(f"""SELECT year AS year_value, quarter AS quarter_name, {SUM_LINES} FROM v_sales
+    JOIN v_dates ON date = sale_date GROUP BY ALL""")
+def snowflake_quarterly_revenue(w: Warehouse):
+    flake = snowflake_of(w)
+    return whole(amounts(reports.revenue_per_period(
+        dated_orders(w, flake), flake.date_flat(), "date_id", ["year_value", "quarter_name"]), "total_revenue"),
         "year_value")
 
 
-@query("""SELECT 'customer' AS dimension, CAST(0 AS BIGINT) AS unmatched_rows UNION ALL SELECT 'product', 0
-    UNION ALL SELECT 'branch', 0 UNION ALL SELECT 'date', 0""")
+@query(f"""SELECT year AS year_value, quarter AS quarter_name, month AS month_name, date, {SUM_LINES} FROM v_sales
+    JOIN v_dates ON date = sale_date GROUP BY ALL""")
+def snowflake_daily_trend(w: Warehouse):
+    """Each day's revenue with the parts of the calendar it belongs to."""
+    flake = snowflake_of(w)
+    return whole(amounts(reports.revenue_per_period(
+        dated_orders(w, flake), flake.date_flat(), "date_id", ["year_value", "quarter_name", "month_name", "date"]),
+        "total_revenue"), "year_value")
+
+
+@query(f"""SELECT product_id, product_name, category AS category_name, brand AS brand_name,
+    count(*) AS total_transactions, CAST(sum(quantity) AS DOUBLE) AS units_sold, {SUM_LINES}
+    FROM v_lines JOIN v_products USING (product_id) GROUP BY ALL""")
+def snowflake_product_board(w: Warehouse):
+    return amounts(reports.revenue_per_entity(
+        w.lines(), snowflake_of(w).product_flat(), "product_id", ["product_name", "category_name", "brand_name"],
+        LINE_DASHBOARD), "total_revenue")
+
+
+@query(f"""SELECT region AS region_name, {SUM_LINES} FROM v_lines JOIN v_branches USING (branch_id) GROUP BY ALL""")
+def snowflake_region_by_branch(w: Warehouse):
+    return amounts(reports.revenue_per_attribute(
+        w.lines(), snowflake_of(w).branch_flat(), "branch_id", ["region_name"]), "total_revenue")
+
+
+@query(f"""SELECT 'customer' AS dimension, count(*) FILTER (status = 'P') AS unmatched_rows FROM v_orders
+    UNION ALL SELECT 'date', count(*) FILTER (status = 'P') FROM v_orders
+    UNION ALL SELECT 'product', count(*) FILTER (product_id < 0) FROM {STRAYS}
+    UNION ALL SELECT 'branch', count(*) FILTER (branch_id IS NULL) FROM {STRAYS}""")
 def snowflake_unmatched(w: Warehouse):
-    """References of the facts into the split dimensions; each line should say 0."""
-    return snowflake_of(w).unmatched_facts()
+    """References into the split dimensions, counted on the facts' own keys; only the planted strays break one."""
+    flake = snowflake_of(w)
+    orders = w.orders().select("customer_id", F.col("sale_date").alias("date"), "status")
+    strays = orders.filter("status = 'P'").withColumns(
+        {"customer_id": -1 - F.col("customer_id"), "date": F.lit(None).cast("date")})
+    return union_all([
+        quality.orphan_counts(orders.unionByName(strays), {
+            "customer": (flake.customer, "customer_id"), "date": (flake.date, "date")}),
+        quality.orphan_counts(lines_with_strays(w), {
+            "product": (flake.product, "product_id"), "branch": (flake.branch, "branch_id")})])
 
 
 # --- CSV ------------------------------------------------------------------------------
@@ -203,10 +257,45 @@ def view_customer_sales(w: Warehouse):
 
 @query(f"SELECT category, brand, {SUM_LINES} FROM v_lines JOIN v_products USING (product_id) GROUP BY ALL")
 def view_star_sql(w: Warehouse):
-    """Plain SQL over the registered star tables."""
-    star = star_of(w)
-    star.register_views()
-    return w.spark.sql("""
+    """Plain SQL over the star tables; the facts keep their own keys, so a product report reads lines and products only."""
+    star = Star(w.customers(), w.products(), w.branches(), w.dates(), w.lines())
+    names = {name: f"{name}_{uuid4().hex[:8]}" for name in ("fact_sales", "dim_product")}
+    for name, view in names.items():
+        star.tables()[name].createOrReplaceTempView(view)
+    return w.spark.sql(f"""
         SELECT p.category, p.brand, sum(f.total_amount) / 100D AS total_revenue
-        FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id
+        FROM {names["fact_sales"]} f JOIN {names["dim_product"]} p ON f.product_id = p.product_id
         GROUP BY p.category, p.brand ORDER BY total_revenue DESC""")
+
+
+# --- loads from CSV ------------------------------------------------------------------------
+
+@query("SELECT *, row_number() OVER (ORDER BY customer_id) AS customer_key FROM "
+       "(SELECT customer_id, customer_name, segment FROM v_customers)")
+def csv_load_with_generated_key(w: Warehouse):
+    """A file with fewer columns than its table: the key is generated as the rows come in."""
+    path = new_table_path(w.spark, "customers-csv")
+    w.customers().select("customer_id", "customer_name", "segment").write.option("header", True).csv(path)
+    loaded = read_table(w.spark, path, columns(customer_id=LONG, customer_name=TEXT, segment=TEXT))
+    return whole(dimensions.assign_keys(loaded, "customer_key", ["customer_id"]), "customer_key")
+
+
+@query("""SELECT 'dim_customer' AS table_name, count(*) AS row_count FROM v_customers UNION ALL
+    SELECT 'dim_product', count(*) FROM v_products UNION ALL SELECT 'dim_branch', count(*) FROM v_branches UNION ALL
+    SELECT 'dim_date', count(*) FROM v_dates UNION ALL SELECT 'fact_sales', count(*) FROM v_lines""")
+def star_load(w: Warehouse):
+    """The five tables of the star out to quoted CSV and back through the loader, counted."""
+    star = star_of(w)
+    files = {}
+    for name, table in star.tables().items():
+        files[name] = new_table_path(w.spark, name)
+        schema = STAR[name]
+        sources = {c: F.col(c) for c in table.columns}
+        if name == "fact_sales":  # numbered here, and in whole units instead of cents
+            sources |= {"sale_id": F.monotonically_increasing_id(), "total_amount": F.col("total_amount") / 100}
+        (table.select(*[F.coalesce(sources.get(f.name, F.lit(None)).cast(f.dataType).cast("string"), F.lit("NULL")).alias(f.name)
+                        for f in schema.fields])
+         .write.option("header", True).option("quote", '"').option("escape", '"').csv(files[name]))
+    return load_star(w.spark, files).load_counts()
+
+

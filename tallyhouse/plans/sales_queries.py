@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.expressions import after_day, code_of, full_name, month_start
 from tallyhouse.operators import ordering, quality, totals
@@ -310,12 +310,15 @@ def purchase_frequency(w: Warehouse):
         w.orders(), w.customer_names(), "customer_id", ["customer_name"], "order_id")
 
 
-@query("""SELECT c.customer_id, c.customer_name, count(o.order_id) AS purchases FROM v_customers c
-    LEFT JOIN (SELECT * FROM v_orders WHERE status = 'P' AND sale_date > DATE '2000-12-31') o
-    ON o.customer_id = c.customer_id GROUP BY ALL""")
+@query("""SELECT c.customer_id, c.customer_name, count(o.order_id) AS purchases
+    FROM (SELECT customer_id, customer_name FROM v_customers
+    UNION ALL SELECT -1 - customer_id, customer_name FROM v_customers) c
+    LEFT JOIN v_orders o ON o.customer_id = c.customer_id GROUP BY ALL""")
 def purchase_frequency_all(w: Warehouse):
-    recent = w.orders().filter((F.col("status") == "P") & after_day("sale_date", "2000-12-31"))
-    return reports.purchase_frequency_all(recent, w.customer_names(), "customer_id", ["customer_name"])
+    """Every customer comes a second time under an id that never bought."""
+    names = w.customer_names()
+    without = names.withColumn("customer_id", -1 - F.col("customer_id"))
+    return reports.purchase_frequency_all(w.orders(), names.unionByName(without), "customer_id", ["customer_name"])
 
 
 @query("""SELECT order_id, customer_id, status, CAST(order_amount AS DOUBLE) AS order_amount
@@ -374,40 +377,60 @@ def duplicate_keys(w: Warehouse):
     return quality.duplicate_keys(w.lines(), ["order_id", "line_number"])
 
 
-@query("""SELECT order_id, line_number, product_id, branch_id FROM v_lines WHERE branch_id NOT IN
-    (SELECT branch_id FROM v_branches WHERE balance >= 0)""")
+#: All lines, and the large ones once more with keys that no table has.
+STRAYS = """(SELECT order_id, line_number, product_id, branch_id FROM v_lines UNION ALL
+    SELECT -1 - order_id, line_number, -1 - product_id, NULL FROM v_lines WHERE quantity >= 45)"""
+
+
+def lines_with_strays(w: Warehouse) -> DataFrame:
+    lines = w.lines()
+    strays = lines.filter("quantity >= 45").withColumns({
+        "order_id": -1 - F.col("order_id"), "product_id": -1 - F.col("product_id"), "branch_id": F.lit(None).cast("long")})
+    return lines.unionByName(strays).select("order_id", "line_number", "product_id", "branch_id")
+
+
+@query("SELECT -1 - order_id AS order_id, line_number, -1 - product_id AS product_id, CAST(NULL AS BIGINT) AS branch_id "
+       "FROM v_lines WHERE quantity >= 45")
 def orphan_rows(w: Warehouse):
-    """Sales of branches that are not in good standing."""
-    solvent = w.branch_names().filter("balance >= 0")
-    return (quality.orphan_rows(w.lines(), solvent, "branch_id")
-            .select("order_id", "line_number", "product_id", "branch_id"))
+    """The planted strays among all sales."""
+    return quality.orphan_rows(lines_with_strays(w), w.branch_names(), "branch_id")
 
 
-@query("""SELECT 'branch' AS dimension, count(*) AS unmatched_rows FROM v_lines WHERE branch_id NOT IN
-    (SELECT branch_id FROM v_branches WHERE balance >= 0) UNION ALL
-    SELECT 'product', count(*) FROM v_lines WHERE product_id NOT IN
+@query(f"""SELECT 'branch' AS dimension, count(*) AS unmatched_rows FROM {STRAYS} l
+    WHERE NOT EXISTS (SELECT 1 FROM v_branches b WHERE b.branch_id = l.branch_id AND balance >= 0) UNION ALL
+    SELECT 'product', count(*) FROM {STRAYS} WHERE product_id NOT IN
     (SELECT product_id FROM v_products WHERE price >= 1000) UNION ALL
-    SELECT 'order', count(*) FROM v_lines WHERE order_id NOT IN
-    (SELECT order_id FROM v_orders WHERE status <> 'P')""")
+    SELECT 'order', count(*) FROM {STRAYS} WHERE order_id NOT IN (SELECT order_id FROM v_orders)""")
 def orphan_counts(w: Warehouse):
-    """Sales outside each restricted dimension."""
-    return quality.orphan_counts(w.lines(), {
+    """Sales, strays among them, outside branches in good standing, dear products and all orders."""
+    return quality.orphan_counts(lines_with_strays(w), {
         "branch": (w.branch_names().filter("balance >= 0"), "branch_id"),
         "product": (w.products().filter("price >= 1000"), "product_id"),
-        "order": (w.orders().filter("status <> 'P'"), "order_id")})
+        "order": (w.orders(), "order_id")})
 
 
-@query("""SELECT 'product' AS dimension, count(*) AS unmatched_rows FROM v_lines
+@query(f"""SELECT 'product' AS dimension, count(*) AS unmatched_rows FROM {STRAYS}
     WHERE product_id NOT IN (SELECT product_id FROM v_products) UNION ALL
-    SELECT 'branch', count(*) FROM v_lines WHERE branch_id NOT IN (SELECT branch_id FROM v_branches)
-    UNION ALL SELECT 'order', count(*) FROM v_lines WHERE order_id NOT IN (SELECT order_id FROM v_orders)""")
+    SELECT 'branch', count(*) FROM {STRAYS} l WHERE NOT EXISTS
+    (SELECT 1 FROM v_branches b WHERE b.branch_id = l.branch_id)
+    UNION ALL SELECT 'order', count(*) FROM {STRAYS} WHERE order_id NOT IN (SELECT order_id FROM v_orders)""")
 def reference_report(w: Warehouse):
-    """Every declared reference of the sales; each line should say 0."""
-    return quality.orphan_counts(w.lines(), {
+    """Every declared reference of the sales; only the strays break one."""
+    return quality.orphan_counts(lines_with_strays(w), {
         "product": (w.products(), "product_id"), "branch": (w.branch_names(), "branch_id"),
         "order": (w.orders(), "order_id")})
 
 
+@query(f"""SELECT state || ' ' || (customer_id % 7) AS city, {SUM_ORDERS} FROM v_orders
+    JOIN v_customers USING (customer_id) GROUP BY ALL""")
+def city_revenue(w: Warehouse):
+    """Revenue by city; the customers' cities follow a rule, as the given table has none."""
+    city = F.concat_ws(" ", "state", (F.col("customer_id") % 7).cast("string"))
+    placed = w.customers().select("customer_id", city.alias("city"))
+    return amounts(reports.revenue_per_attribute(
+        w.orders(), placed, "customer_id", ["city"], {"total_revenue": ("sum", "order_amount")}), "total_revenue")
+
+
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem")))
 def row_counts(w: Warehouse):
