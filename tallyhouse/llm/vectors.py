@@ -232,7 +232,9 @@ def vector_groups(table: DataFrame, plan: Plan = Plan(), id_column: str = "vec_i
     counted = linked.groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))
     found = components(linked.select("u", "v"), "vectors").withColumnRenamed("node", "cid")
     placed_in = classes.select("cid", "first").join(found, "cid")
-    lowest = placed_in.join(placed_in.groupBy("root").agg(F.min("first").alias("lowest")), "root").select("cid", "lowest")
+    # Stored for the same reason: one root may have very many members.
+    of_root = written(placed_in.groupBy("root").agg(F.min("first").alias("lowest")), "lowest")
+    lowest = placed_in.join(of_root, "root").select("cid", "lowest")
     # Stored, so that the join below shuffles both sides itself and a very common vector's rows can be split.
     told = written(classes.join(counted, "cid", "left").join(lowest, "cid", "left")
                    .select("embedding", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
