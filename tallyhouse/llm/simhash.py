@@ -165,7 +165,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, groups: int = 4, longes
     prints = written(rows.groupBy("print").agg(F.min("doc_id").alias("first")), "prints")
     found = components(linked(prints.select("print"), groups, longest), "near")
     placed = prints.join(found.withColumnRenamed("node", "print"), "print")
-    lowest = placed.groupBy("root").agg(F.min("first").alias("lowest"))
+    lowest = written(placed.groupBy("root").agg(F.min("first").alias("lowest")), "lowest")
     moved = placed.join(lowest, "root").select("print", "lowest")
     # Stored, so that the join below shuffles both sides itself and a very common fingerprint's rows can be split.
     named = written(prints.join(moved, "print", "left").select(
