@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.session import written
@@ -23,6 +24,13 @@ def id_and_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                        (text.cast("binary") if binary else text).alias("text"))
 
 
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a folder; Spark writes local ones with one slash or three."""
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that the Python objects of few rows live at a time."""
     for batch in batches:

@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm.common import id_and_text, shuffle_width, slices
+from tallyhouse.llm.common import id_and_text, shuffle_width, slices, store_of
 from tallyhouse.llm.tokens import word_ids
 from tallyhouse.session import new_table_path
 
@@ -53,7 +53,7 @@ class FlatIds(NamedTuple):
 def _write_part(folder: str, tokenizer: str, end_id: int, batches: Iterator[pa.RecordBatch]):
     encoder = word_ids(tokenizer)
     end = np.array([end_id], encoder.dtype).tobytes()
-    store, root = fs.FileSystem.from_uri(folder)
+    store, root = store_of(folder)
     context = TaskContext.get()
     stem, attempt = f"part-{context.partitionId():06d}", f"{context.taskAttemptId()}-{uuid4().hex}"
     names = {kind: f"{root}/{stem}.{kind}" for kind in ("tokens", "offsets", "documents")}
@@ -96,7 +96,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, id_column: str = "do
     """
     spark = docs.sparkSession
     folder = folder or new_table_path(spark, "flat-ids")
-    store, root = fs.FileSystem.from_uri(folder)
+    store, root = store_of(folder)
     store.create_dir(root, recursive=True)
     ordered = (id_and_text(docs, id_column, text_column)
                .withColumn("tie", F.monotonically_increasing_id())
@@ -127,7 +127,7 @@ def read_ids(spark: SparkSession, flat: FlatIds, per_document: Callable[[np.ndar
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), *fields])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(flat.folder)
+        store, root = store_of(flat.folder)
         for batch in batches:
             for number in batch.column("id").to_pylist():
                 part = flat.parts[number]

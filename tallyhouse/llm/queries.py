@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 import public_tokenizers
 import pyarrow as pa
@@ -18,10 +21,23 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package also where the session was started in another folder."""
+    root, known = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def query(sql: str | None = None):
     """Register a function of (spark, folder) under its own name, with the SQL it must agree with if there is any."""
     def register(build):
-        QUERIES[build.__name__] = build
+        @wraps(build)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            find_package(spark)
+            return build(spark, folder)
+
+        QUERIES[build.__name__] = run
         if sql:
             EXPECTED[build.__name__] = sql
         return build

@@ -20,11 +20,10 @@ from hashlib import sha1
 from uuid import NAMESPACE_URL, uuid4, uuid5
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm.common import slices
+from tallyhouse.llm.common import slices, store_of
 
 _HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>|<title\b[^>]*>.*?</title\s*>")
 _BREAKS = re.compile(r"(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|main|aside|body|head|"
@@ -137,11 +136,11 @@ def write_records(records: DataFrame, folder: str) -> DataFrame:
 
     Files are written under an attempt's name and renamed when complete.
     """
-    store, root = fs.FileSystem.from_uri(folder)
+    store, root = store_of(folder)
     store.create_dir(root, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = store_of(folder)
         name = f"{root}/records-{TaskContext.get().partitionId():06d}.warc.gz"
         stream, n, draft = None, 0, f"{name}.{uuid4().hex}"
         for batch in slices(batches):
