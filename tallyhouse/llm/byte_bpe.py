@@ -137,7 +137,7 @@ class Ranks:
 
 class _Pieces(Recent):
     def __init__(self, ranks: Ranks):
-        super().__init__(2 * GENERATION)  # both tables are worth their memory: a merge takes some 20 microseconds
+        super().__init__(350_000)  # a merge takes some 20 microseconds, a word of known pieces one
         self.merge = ranks.merge
 
     def make(self, piece: str) -> bytes:
@@ -148,7 +148,7 @@ class _SpacedWords(Recent):
     """Ids of a space and the word after it."""
 
     def __init__(self, pieces: _Pieces, split):
-        super().__init__(2 * GENERATION)
+        super().__init__(GENERATION)
         self.pieces, self.split = pieces, split
 
     def make(self, word: str) -> bytes:
