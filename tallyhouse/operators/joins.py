@@ -9,6 +9,15 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 
+#: Rows that may be broadcast by hint; a larger side is left to Spark's own size check.
+MOST_BROADCAST = 100_000
+
+
+def few(df: DataFrame, n: int) -> DataFrame:
+    """``df``, which has about ``n`` rows, as a broadcast side if that is few enough."""
+    return F.broadcast(df) if n <= MOST_BROADCAST else df
+
+
 def join_on_same(left: DataFrame, right: DataFrame, columns: Sequence[str],
                  how: str = "inner") -> DataFrame:
     """Join on equally named columns, where NULL equals NULL.

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyhouse.operators.joins import join_on_same
+from tallyhouse.operators.joins import few, join_on_same
 from tallyhouse.session import written
 
 RANGE = "_range"
@@ -107,12 +107,12 @@ def rank_top(df: DataFrame, by: str, n: int, rank_as: str = "rank") -> DataFrame
     """Rows with ``rank() <= n`` by ``by`` descending; all ties of the last rank stay.
 
     The ``n`` best values are found with a distributed top-k. They alone decide
-    the ranks, so only those ``n`` values are broadcast.
+    the ranks, so at most those ``n`` values are broadcast, if they are few.
     """
     best = df.select(by).orderBy(*sort_columns([f"-{by}"])).limit(n)
     ranks = best.select(by, F.rank().over(Window.orderBy(*sort_columns([f"-{by}"])))
                         .cast("long").alias(rank_as)).distinct()
-    return join_on_same(df, F.broadcast(ranks), [by]).select(*df.columns, rank_as)
+    return join_on_same(df, few(ranks, n), [by]).select(*df.columns, rank_as)
 
 
 def top_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -125,11 +125,11 @@ def top_entities(totals: DataFrame, dimension: DataFrame, key: str,
     """The ``n`` best keys known to the dimension, with their attributes.
 
     Only keys take part in the big join; the attributes are fetched for the
-    ``n`` winners, which are few enough to be broadcast.
+    ``n`` winners, which are broadcast if they are few.
     """
     known = totals.join(dimension.select(key), key, "left_semi")
     winners = top_n(known, order, n)
-    named = dimension.select(key, *attributes).join(F.broadcast(winners), key)
+    named = dimension.select(key, *attributes).join(few(winners, n), key)
     return named.select(key, *attributes, *[c for c in totals.columns if c != key]) \
         .orderBy(*sort_columns(order))
 
