@@ -9,8 +9,11 @@ stays under the limit are dropped; the others are computed exactly, in double
 precision.
 
 Pairs to estimate come from cells: centroids are fitted on a bounded sample,
-every vector has its nearest cell as home and also visits the next nearest
-ones. A cell's vectors are dealt to blocks, and each pair of blocks is one
+every vector has its nearest cell as home and also visits every cell whose
+border with its home is within half the limit's angle. Of two linked vectors
+with different homes, the angles to the border between these add up to the
+limit's angle at most, so one of the two visits the other's home: no link is
+lost however many cells there are. A cell's vectors are dealt to blocks, and each pair of blocks is one
 piece of work, so a cell with very many vectors is not one task. What leaves a
 piece is one row per vector, with its number of links and the smallest vector
 it is connected to, never the pairs.
@@ -32,7 +35,7 @@ from tallyhouse.session import written
 
 class Plan(NamedTuple):
     """``limit``: least cosine of a link; ``cell_rows``: vectors wanted per cell; ``probes``: cells a vector
-    is compared in; ``block``: vectors per block; ``sample`` bounds the vectors that centroids are fitted on
+    is compared in at least, more as the limit demands; ``block``: vectors per block; ``sample`` bounds the vectors that centroids are fitted on
     and ``most_cells`` the cells; ``sureness``: standard errors of the bound."""
     limit: float = 0.9
     cell_rows: int = 512
@@ -88,6 +91,20 @@ def fit(classes: DataFrame, plan: Plan) -> Index:
 _PLACED = "cell int, home int, probes array<int>, cid long, copies long, vector binary, code binary, factor float"
 
 
+def visited(unit: np.ndarray, centres: np.ndarray, plan: Plan) -> list[np.ndarray]:
+    """For each row the cells it is compared in: its home first, then the others within half the limit's angle of the border."""
+    near = unit @ centres.T
+    home = near.argmax(axis=1)
+    squares = (centres * centres).sum(axis=1)
+    apart = np.sqrt(np.maximum(squares[home][:, None] + squares - 2 * centres[home] @ centres.T, 0))
+    reach = math.sin(math.acos(min(1.0, max(-1.0, plan.limit))) / 2)
+    # A cosine that rounds up to the limit may come with an angle a little beyond it.
+    cross = near[np.arange(len(unit)), home][:, None] - near <= reach * apart + 1e-7
+    order = np.argsort(-near, axis=1, kind="stable")
+    cross[np.arange(len(unit))[:, None], order[:, :plan.probes]] = True
+    return [cells[row[cells]] for cells, row in zip(order, cross)]
+
+
 def _placed(classes: DataFrame, index: Index, plan: Plan) -> DataFrame:
     """One row per class and cell it is compared in, with code and correction factor."""
     schema = pa.schema([("cell", pa.int32()), ("home", pa.int32()), ("probes", pa.list_(pa.int32())),
@@ -95,27 +112,34 @@ def _placed(classes: DataFrame, index: Index, plan: Plan) -> DataFrame:
                         ("code", pa.binary()), ("factor", pa.float32())])
     shared = classes.sparkSession.sparkContext.broadcast(index)
 
+    def told(out: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        for batch in slices(batches, 1024):
+        out = [[] for _ in schema]
+        for batch in slices(batches):
             vectors = batch.column("embedding").to_pylist()
             cids, copies = batch.column("cid").to_pylist(), batch.column("copies").to_pylist()
-            out = [[] for _ in schema]
             for dim in {len(v) for v in vectors}:
                 some = [i for i, v in enumerate(vectors) if len(v) == dim]
                 unit = units([vectors[i] for i in some])
-                near = unit @ index.centroids[dim].T
-                order = np.argsort(-near, axis=1, kind="stable")[:, :plan.probes] + index.offsets[dim]
+                visits = visited(unit, index.centroids[dim], plan)
                 rotated = unit @ index.rotations[dim].T
                 codes = np.packbits(rotated > 0, axis=1)
                 factors = np.abs(rotated).sum(axis=1) / math.sqrt(dim)
                 for row, i in enumerate(some):
-                    probes = order[row].tolist()
+                    probes = (visits[row] + index.offsets[dim]).tolist()
                     for cell in probes:
-                        for column, value in zip(out, (cell, probes[0], probes, cids[i], copies[i], unit[row].tobytes(),
-                                                       codes[row].tobytes(), float(factors[row]))):
+                        # Only at home a vector is asked which cells it visits.
+                        for column, value in zip(out, (cell, probes[0], probes if cell == probes[0] else [], cids[i], copies[i],
+                                                       unit[row].tobytes(), codes[row].tobytes(), float(factors[row]))):
                             column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+                    if len(out[0]) >= 4096:
+                        yield told(out)
+                        out = [[] for _ in schema]
+        if out[0]:
+            yield told(out)
 
     return classes.mapInArrow(run, _PLACED)
 
