@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import exact_dedup, jaccard, langid, packing, queries, secrets, simhash
+from tallyhouse.llm import exact_dedup, langid, packing, queries, secrets, simhash
 from tallyhouse.session import written
 from tallyhouse.sources.tables import scan
 
@@ -43,12 +43,12 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose five-word shingles have a Jaccard similarity of 0.8 or more, the one with the smallest id stays.
+    """Of documents that SimHash links (three-word shingles, at most two bits apart), the one with the smallest id stays.
 
     A document without an id goes if it is linked to one that has an id.
     """
     docs = docs.select(*COLUMNS)
-    found = written(jaccard.near_groups(docs), "near")
+    found = written(simhash.near_groups(docs), "near")
     gone = written(found.where("not (doc_id <=> component_id)").select(
         F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")), "gone")
     met = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (simhash.mark_of("text") == F.col("gone_mark"))
@@ -77,10 +77,10 @@ def _sent(rows: DataFrame, most: int = 1_000_000) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language ID", language_id), ("exact dedup", exact_copies), ("near-dedup", near_copies),
+    ("language ID", language_id), ("exact dedup", exact_copies), ("SimHash near-dedup", near_copies),
     ("secret scans", secret_scan), ("packing", pack)]
 
-#: Character models, min-hashes and retrieval have no SQL form; the tests compare with brute force.
+#: Character models, SimHash and retrieval have no SQL form; the tests compare with brute force.
 ORACLE_SQL = None
 
 
