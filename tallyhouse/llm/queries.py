@@ -11,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import byte_bpe, chat, exact_dedup, flat_ids, langid, packing, secrets, simhash, vectors, warc
+from tallyhouse.llm import audit, byte_bpe, chat, exact_dedup, flat_ids, langid, packing, secrets, sharding, simhash, spelling, vectors, warc
 from tallyhouse.sources.tables import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,49 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_flat_ids(spark: SparkSession, folder: str) -> DataFrame:
     flat = flat_ids.write_ids(scan(spark, folder, "documents"), WORD_VOCABULARY, end_id=1)
     return flat_ids.read_ids(spark, flat, flat_ids.crc_of_ids, "ids_crc32 long", [("ids_crc32", pa.int64())])
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(scan(spark, folder, "documents", ["doc_id", "text"]))
+
+
+@query(r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+told AS (SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good, max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+masked AS (SELECT doc_id, part, CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+    + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INT) AS mask FROM texts),
+counted AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS g, coalesce(sum(toxic), 0) AS x
+    FROM masked LEFT JOIN told USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, bit)),
+orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT o, s, own.l AS letter, own.bit AS own, CAST(coalesce(sum(earlier.bit), 0) AS INT) AS before
+    FROM orders CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS s)
+    JOIN letters own ON own.l = substr(o, s, 1) LEFT JOIN letters earlier ON instr(o, earlier.l) < s GROUP BY ALL),
+sums AS (SELECT part, o, s, letter, sum(CASE WHEN mask & (before | own) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before > 0 AND mask & own > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN g ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN x ELSE 0 END) AS toxic_lost
+    FROM counted CROSS JOIN steps GROUP BY part, o, s, letter)
+SELECT part, o AS filter_order, CAST(s AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+    CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM sums""")
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(scan(spark, folder, "documents", ["doc_id", "text", "source"]),
+                       scan(spark, folder, "labels", ["doc_id", "quality", "toxic"]))
+
+
+@query()
+def op13_shuffled_shards(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.shuffled(scan(spark, folder, "documents", ["doc_id", "text"]))
+    text = F.coalesce("record.text", F.lit(""))
+    return found.select("record.doc_id", sharding.record_size("record.text").alias("size"),
+                        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
