@@ -139,28 +139,22 @@ def stored_top_customer(w: Warehouse):
 
 # --- incremental loads --------------------------------------------------------------------
 
-#: Events arrive in three files; the later ones repeat all earlier events with another value.
+#: Events arrive three times; the later arrivals repeat all earlier events with another value.
 _FILE = "CASE WHEN value < 20 THEN 1 WHEN value < 60 THEN 2 ELSE 3 END"
 
 
-def _event_files(w: Warehouse) -> tuple[str, DataFrame]:
-    events = w.table("events").withColumn("file", F.coalesce(F.expr(_FILE), F.lit(3)))
-    path = new_table_path(w.spark, "event-files")
-    for number in (1, 2, 3):
-        value = F.when(F.col("file") < number, F.col("value") + 1000).otherwise(F.col("value"))
-        (events.filter(F.col("file") <= number).withColumn("value", value).drop("file")
-         .coalesce(1).write.mode("append").parquet(path))
-    return path, events.drop("file")
-
-
 def _event_loads(w: Warehouse) -> tuple[str, DataFrame]:
-    """The files as a stream, one per batch; a second call finds nothing new."""
-    source, events = _event_files(w)
-    target, progress = new_table_path(w.spark, "events"), new_table_path(w.spark, "events-progress")
-    for _ in range(2):
-        stream = w.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-        load_new_files(stream, target, ["event_id"], progress)
-    return target, events
+    """Each arrival is loaded when it has come, as one batch of all its files; a last call finds nothing new."""
+    events = w.table("events").withColumn("file", F.coalesce(F.expr(_FILE), F.lit(3)))
+    schema = w.table("events").schema
+    source, target, progress = (new_table_path(w.spark, name) for name in ("event-files", "events", "events-progress"))
+    for number in (1, 2, 3, None):
+        if number:
+            value = F.when(F.col("file") < number, F.col("value") + 1000).otherwise(F.col("value"))
+            (events.filter(F.col("file") <= number).withColumn("value", value).drop("file")
+             .write.mode("append").parquet(source))
+        load_new_files(w.spark.readStream.schema(schema).parquet(source), target, ["event_id"], progress)
+    return target, w.table("events")
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")

@@ -43,14 +43,14 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Store ``df`` once in the shared folder and read it back.
+def written(df: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
+    """Store ``df`` once in the shared folder and read it back, in another ``session`` where one is given.
 
     This cuts the lineage, so values that depend on how rows were laid out
     (range partitions, partition ids) stay the same in every later use and
     after the loss of an executor.
     """
-    spark = df.sparkSession
+    spark = session or df.sparkSession
     path = new_table_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

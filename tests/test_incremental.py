@@ -1,10 +1,12 @@
 """New files into a keyed table, each key once."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.session import new_table_path
 from tallyhouse.sources.delimited import stream_table
-from tallyhouse.streaming.incremental import load_new_files, loaded_per_batch, loaded_rows, merge_batch
+from tallyhouse.streaming.incremental import (
+    BUCKET, earlier_rows, load_new_files, loaded_per_batch, loaded_rows, merge_batch, merge_into, open_table)
 
 SCHEMA = "id int, v string"
 
@@ -51,3 +53,27 @@ def test_csv_files_as_they_arrive(spark, tmp_path):
     (source / "bad.csv").write_text("x,y\nten,z\n")
     with pytest.raises(Exception):
         load()
+
+
+def test_a_batch_reads_its_own_buckets(spark):
+    """Files of other buckets are not opened; keys of all buckets are found."""
+    table = open_table(spark, new_table_path(spark, "keyed"), frame(spark).schema, 8)
+    many = spark.range(1000).selectExpr("cast(id as int) as id", "'first' as v")
+    assert merge_into(many, table, ["id"], "s-0")
+    few = frame(spark, (1, "again"), (2, "again"), (2000, "new"))
+    own = {r[0] for r in few.select(table.bucket_of(["id"])).collect()}
+    read = earlier_rows(spark, table, sorted(own), "s-1")
+    files = {r[0] for r in read.select(F.input_file_name()).distinct().collect()}
+    assert files and {int(f.split(f"{BUCKET}=")[1].split("/")[0]) for f in files} == own != set(range(8))
+    scans = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scans and "PartitionFilters: []" not in scans
+    assert merge_into(few, table, ["id"], "s-1") and merge_into(few, table, ["id"], "s-1")
+    assert rows(loaded_per_batch(spark, table.path, table.schema)) == [("s-0", 1000), ("s-1", 1)]
+    assert rows(loaded_rows(spark, table.path, table.schema)) == rows(many.union(frame(spark, (2000, "new"))))
+
+
+def test_buckets_stay_as_the_table_was_made(spark):
+    path, schema = new_table_path(spark, "keyed"), frame(spark).schema
+    assert open_table(spark, path, schema, 4).buckets == open_table(spark, path, schema, 32).buckets == 4
+    with pytest.raises(ValueError):
+        open_table(spark, path, spark.createDataFrame([], "id int, batch string").schema)
