@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 Measures = Mapping[str, tuple[str, str]]
 
@@ -65,16 +65,37 @@ def count_per_entity(fact: DataFrame, dimension: DataFrame, key: str,
     return kept.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
 
 
+def key_number(df: DataFrame, column: str) -> Column | None:
+    """The value as a whole number, for types that bitmaps can hold; None for others."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    return F.col(column).cast("long") if isinstance(kind, T.IntegralType) else None
+
+
 def key_profile(fact: DataFrame, keys: Mapping[str, str], rows_as: str) -> DataFrame:
     """Row count and the number of different values of each key, in one row.
 
-    ``keys`` maps an output name to a column. Each key gets its own two-step
-    count; several distinct counts in one aggregate would copy every fact row
-    once per key before the shuffle.
+    ``keys`` maps an output name to a column. Whole numbers and dates are set
+    as bits: one scan lists the numbers of all keys, each task folds them to a
+    bitmap for each key and stretch of 32,768 numbers, and only bitmaps are
+    shuffled and united. Keys of other types get a two-step count of their
+    own. A NULL is no value.
     """
-    counts = [fact.select(column).distinct().agg(F.count(column)).scalar().alias(name)
-              for name, column in keys.items()]
-    return fact.agg(F.count(F.lit(1)).alias(rows_as)).select(rows_as, *counts)
+    numbers = {name: key_number(fact, column) for name, column in keys.items()}
+    set_as_bits = [name for name, number in numbers.items() if number is not None]
+    others = [fact.select(keys[name]).distinct().agg(F.count(keys[name])).scalar().alias(name)
+              for name in keys if name not in set_as_bits]
+    if not set_as_bits:
+        return fact.agg(F.count(F.lit(1)).alias(rows_as)).select(rows_as, *others)
+    listed = fact.select(F.inline(F.array(*(F.struct(F.lit(i).alias("_key"), numbers[name].alias("_number"))
+                                            for i, name in enumerate(set_as_bits)))))
+    bits = listed.groupBy("_key", F.bitmap_bucket_number("_number").alias("_stretch")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_number"))).alias("_values"), F.count(F.lit(1)).alias("_rows"))
+    of_key = lambda i, column: F.coalesce(F.sum(F.when(F.col("_key") == i, F.col(column))), F.lit(0))
+    counted = bits.agg(of_key(0, "_rows").alias(rows_as), *(of_key(i, "_values").alias(name) for i, name in enumerate(set_as_bits)))
+    return counted.select(rows_as, *(others[[n for n in keys if n not in set_as_bits].index(name)] if name not in set_as_bits else name
+                                     for name in keys))
 
 
 def above_scalar(totals: DataFrame, column: str, level: DataFrame) -> DataFrame:

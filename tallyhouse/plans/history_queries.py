@@ -14,7 +14,9 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.operators import changes, history
+from tallyhouse.operators.asof import asof_join
 from tallyhouse.operators.dimensions import assign_keys
+from tallyhouse.operators.totals import totals_by
 from tallyhouse.plans.registry import Warehouse, amounts, query
 from tallyhouse.session import new_table_path
 from tallyhouse.sources.tables import append_rows, literal_rows, replace_rows
@@ -301,3 +303,41 @@ def scd6_as_of(w: Warehouse):
     count(*) FILTER (NOT is_current) AS historical_records FROM v_versions""")
 def scd6_counts(w: Warehouse):
     return history.version_counts(hybrid(w))
+
+
+# --- facts and the versions of their own day ----------------------------------------------
+
+_VERSION = ["membership", "effective_date"]
+
+
+@query("""SELECT o.order_id, o.customer_id, o.sale_date, v.membership, v.effective_date
+    FROM v_orders o ASOF LEFT JOIN v_versions v ON o.customer_id = v.customer_id AND o.sale_date >= v.effective_date""")
+def sales_as_of_version(w: Warehouse):
+    """Every order with the membership its customer had on the day of the sale."""
+    orders = w.orders().select("order_id", "customer_id", "sale_date")
+    return asof_join(orders, stored_versions(w), "customer_id", "sale_date", _VERSION)
+
+
+@query("""SELECT v.membership AS membership_then, n.membership AS membership_now, count(*) AS orders,
+    CAST(sum(o.order_amount) AS DOUBLE) AS total_revenue
+    FROM v_orders o ASOF LEFT JOIN v_versions v ON o.customer_id = v.customer_id AND o.sale_date >= v.effective_date
+    LEFT JOIN v_versions n ON n.customer_id = o.customer_id AND n.is_current GROUP BY ALL""")
+def revenue_by_membership_then_and_now(w: Warehouse):
+    """Revenue by the membership of the sale's day and by today's; orders are folded per customer and day first."""
+    daily = totals_by(w.orders(), ["customer_id", "sale_date"],
+                      {"total_revenue": ("sum", "order_amount"), "orders": ("count", "order_id")})
+    then = asof_join(daily, stored_versions(w).withColumnRenamed("membership", "membership_then"),
+                     "customer_id", "sale_date", ["membership_then"])
+    now = history.current_rows(stored_versions(w)).select("customer_id", F.col("membership").alias("membership_now"))
+    both = then.join(now, "customer_id", "left").groupBy("membership_then", "membership_now").agg(
+        F.sum("orders").alias("orders"), F.sum("total_revenue").alias("total_revenue"))
+    return amounts(both, "total_revenue")
+
+
+@query("""SELECT o.order_id, o.sale_date, c.membership, c.effective_date FROM v_orders o
+    ASOF JOIN v_reviews c ON o.customer_id = c.customer_id AND o.sale_date >= c.effective_date""")
+def sales_as_of_change(w: Warehouse):
+    """The latest review before each sale, straight from the feed; orders before the first review are left out."""
+    orders = w.orders().select("order_id", "customer_id", "sale_date")
+    found = asof_join(orders, reviews(w), "customer_id", "sale_date", _VERSION, how="inner")
+    return found.select("order_id", "sale_date", *_VERSION)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.operators import changes
-from tallyhouse.operators.stored_totals import add_totals, read_totals
+from tallyhouse.operators.stored_totals import Dashboard, Maintained, add_totals, read_totals
 from tallyhouse.plans.registry import Warehouse, amounts, query
 from tallyhouse.plans.reports import first_rows
 from tallyhouse.session import new_table_path
@@ -137,6 +137,67 @@ def stored_top_customer(w: Warehouse):
     return amounts(first_rows(stored, ["-total_revenue", "customer_id"], 1), "total_revenue")
 
 
+@query("""SELECT c.region, count(*) AS orders, count(DISTINCT o.customer_id) AS customers,
+    count(DISTINCT o.sale_date) AS days, CAST(sum(o.order_amount) AS DOUBLE) AS total_revenue,
+    avg(CAST(o.order_amount AS DOUBLE)) AS average_order
+    FROM v_orders o JOIN v_customers c ON c.customer_id = o.customer_id GROUP BY c.region""")
+def stored_regional_dashboard(w: Warehouse):
+    """A stored dashboard with exact distinct counts and averages after three batches; one of them is added twice."""
+    placed = w.orders().join(w.customers().select("customer_id", "region"), "customer_id")
+    board = Dashboard(new_table_path(w.spark, "regional-dashboard"), ["region"], "orders",
+                      sums={"total_revenue": "order_amount"}, averages={"average_order": "order_amount"},
+                      distincts={"customers": "customer_id", "days": "sale_date"})
+    batches = {"1": F.year("sale_date") < 1997, "2": F.year("sale_date").between(1997, 1999), "3": F.year("sale_date") > 1999}
+    for name, arrived in [*batches.items(), ("2", batches["2"])]:
+        board.add(placed.filter(arrived), name)
+    return amounts(board.read(w.spark), "total_revenue", "average_order")
+
+
+_FINAL = """(SELECT CAST(year(sale_date) AS BIGINT) AS year, order_amount,
+    CASE WHEN status = 'O' AND sale_date < DATE '1998-01-01' THEN 'F' ELSE status END AS status
+    FROM v_orders WHERE status <> 'P' OR year(sale_date) = 1997)"""
+
+
+def _maintained_orders(w: Warehouse) -> tuple[Maintained, int]:
+    """Totals by status and year that followed the log: loads, deletions, updates, then deleted orders of 1997 restored."""
+    log = order_log(w)
+    state = lambda version: changes.state_of(log, KEY, version).select(
+        *KEY, "status", F.year("sale_date").cast("long").alias("year"), "order_amount")
+    totals = Maintained(new_table_path(w.spark, "maintained-orders"), ["status", "year"], "orders",
+                        sums={"total_revenue": "order_amount"},
+                        extremes={"smallest_order": ("min", "order_amount"), "largest_order": ("max", "order_amount")})
+    before = state(0)
+    for version in (LOADED, ARRIVED, DELETED, CLOSED):
+        after = w.staged(f"orders-{version}", lambda: state(version))
+        totals.apply(changes.net_changes(before, after, KEY), version, after)
+        before = after
+    lost = (F.col("status") == "P") & (F.col("year") == 1997)
+    after = w.staged("orders-restored", lambda: changes.restore_rows(before, state(ARRIVED), KEY, lost))
+    for _ in range(2):
+        totals.apply(changes.net_changes(before, after, KEY), CLOSED + 1, after)
+    return totals, CLOSED + 1
+
+
+_MONEY = ("total_revenue", "smallest_order", "largest_order")
+_MAINTAINED = """SELECT status, year, count(*) AS orders, CAST(sum(order_amount) AS DOUBLE) AS total_revenue,
+    CAST(min(order_amount) AS DOUBLE) AS smallest_order, CAST(max(order_amount) AS DOUBLE) AS largest_order"""
+
+
+@query(f"{_MAINTAINED} FROM {_FINAL} GROUP BY ALL")
+def maintained_totals(w: Warehouse):
+    """Stored totals after inserts, deletes, updates and a restoration, the last one applied twice."""
+    totals, version = _maintained_orders(w)
+    return amounts(totals.read(w.spark, version), *_MONEY)
+
+
+@query(f"""{_MAINTAINED} FROM (SELECT CAST(year(sale_date) AS BIGINT) AS year, status, order_amount
+    FROM v_orders WHERE status <> 'P') GROUP BY ALL""")
+def maintained_totals_as_of(w: Warehouse):
+    """The same stored totals as they were after the deletion."""
+    totals, _ = _maintained_orders(w)
+    return amounts(totals.read(w.spark, DELETED), *_MONEY)
+
+
 # --- incremental loads --------------------------------------------------------------------
 
 #: Events arrive three times; the later arrivals repeat all earlier events with another value.
