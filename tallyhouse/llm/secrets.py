@@ -1,11 +1,11 @@
 """Secret scans: character Markov models of random strings and of ordinary identifiers.
 
 Three patterns give the base spans. The method adds spans of kind ``random``:
-every run of token characters is scored by the log-likelihood ratio of two
-first-order Markov chains over characters, one trained on samples labelled
-random, one on ordinary identifiers. Everything is a column expression; only
-the two tables of character pairs, whose size the alphabet bounds, pass
-through the driver.
+every run of letters and digits, which is a part of a path, an address or a
+name, is scored by the log-likelihood ratio of two first-order Markov chains
+over characters, one trained on samples labelled random, one on ordinary
+identifiers. Everything is a column expression; only the two tables of
+character pairs, whose size the alphabet bounds, pass through the driver.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _TOKEN = "[A-Za-z0-9+/_=-]"
+#: What is scored: names and paths fall apart at all other characters.
+_PART = "[A-Za-z0-9]"
 _BLOCK = 256
 
 
@@ -105,17 +107,35 @@ def all_spans(text: Column, model: Markov | None) -> Column:
     """Base spans and the method's, by start, then kind in the order of ``KINDS``."""
     found = base_spans(text)
     if model:
-        found = F.concat(found, _spans(text, f"{_TOKEN}{{{model.least},}}", "random",
+        found = F.concat(found, _spans(text, f"{_PART}{{{model.least},}}", "random",
                                        lambda match: ratio(match, model) > model.threshold))
     return F.array_sort(found)
 
 
-def train(labelled: DataFrame, prior: float = 1e-4, least: int = 20) -> Markov | None:
+def _chain(counts: dict[str, int], single: float) -> dict[str, float]:
+    """Logarithm of the probability of each character after each, mixed with a share of its own frequency.
+
+    A pair that other languages use and the sample does not is so no less
+    likely than its second character allows.
+    """
+    width = len(ALPHABET)
+    total = sum(counts.values())
+    alone = {b: (sum(counts.get(a + b, 0) for a in ALPHABET) + 1) / (total + width) for b in ALPHABET}
+    found = {}
+    for a in ALPHABET:
+        after = sum(counts.get(a + b, 0) for b in ALPHABET)
+        for b in ALPHABET:
+            found[a + b] = math.log((1 - single) * (counts.get(a + b, 0) + alone[b]) / (after + 1) + single * alone[b])
+    return found
+
+
+def train(labelled: DataFrame, prior: float = 1e-6, single: float = 0.2) -> Markov | None:
     """Two chains from ``labelled`` rows (token string, random boolean); None without rows of both kinds.
 
-    Pairs are counted with one added to each. ``prior`` is the share of random
-    strings expected among tokens and sets the threshold; ``least`` is the
-    shortest token that is scored.
+    ``prior`` is the share of random strings expected among tokens and sets
+    the threshold, ``single`` the weight of characters by themselves. The
+    shortest part that is scored follows from the threshold: as long as random
+    strings are that reach twice the threshold on average.
     """
     pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, F.lit(2))))
     counted = (labelled.where(F.length("token") > 1).select("random", pair.alias("pair"))
@@ -125,32 +145,42 @@ def train(labelled: DataFrame, prior: float = 1e-4, least: int = 20) -> Markov |
         counts[row.random][row.pair] = row.n
     if not counts[True] or not counts[False]:
         return None
-    width = len(ALPHABET)
-    ratios = []
-    for a in ALPHABET:
-        totals = {side: width + sum(counts[side].get(a + b, 0) for b in ALPHABET) for side in counts}
-        ratios += [math.log((counts[True].get(a + b, 0) + 1) / totals[True])
-                   - math.log((counts[False].get(a + b, 0) + 1) / totals[False]) for b in ALPHABET]
-    return Markov(ratios, math.log(1 / prior), least)
+    chains = {side: _chain(counts[side], single) for side in counts}
+    gains = {pair: chains[True][pair] - chains[False][pair] for pair in chains[True]}
+    seen = {pair: n for pair, n in counts[True].items() if pair.isalnum()} or counts[True]
+    gain = sum(n * gains[pair] for pair, n in seen.items()) / sum(seen.values())
+    threshold = math.log(1 / prior)
+    return Markov([gains[a + b] for a in ALPHABET for b in ALPHABET], threshold, 1 + math.ceil(2 * threshold / max(gain, 0.1)))
 
 
 def labelled_tokens(docs: DataFrame, documents: int = 20_000, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Samples for ``train`` from about ``documents`` documents, chosen by a hash of their ids.
 
-    Random are the values that the base patterns point at; ordinary are the
-    identifiers of documents without a base match.
+    Ordinary is what the scan meets outside the base patterns' matches: runs of
+    letters and digits, and names made of them as programs do, with inner or
+    all capitals. Random are the values that the base patterns point at, and
+    for each document a digest of its own, in base 64, in its capitals and in
+    hexadecimal digits.
     """
     share = min(1.0, documents / max(docs.count(), 1))
     drawn = F.xxhash64(F.col(id_column).cast("string"), F.lit("secret sample")).bitwiseAND(F.lit((1 << 40) - 1))
-    text = docs.where(drawn < share * (1 << 40)).select(F.col(text_column).alias("text")).where("text is not null")
+    text = docs.where(drawn < share * (1 << 40)).select(F.col(text_column).alias("text"), drawn.cast("string").alias("own")).where("text is not null")
     values = F.concat(
         F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= ASSIGN_LEAST),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
-    ordinary = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9_])[A-Za-z_][A-Za-z0-9_]{3,}(?![A-Za-z0-9_])"), F.lit(0))
-    sampled = text.select("text", values.alias("values"))
-    return sampled.select(
-        (F.size("values") > 0).alias("random"),
-        F.explode(F.when(F.size("values") > 0, F.col("values")).otherwise(ordinary)).alias("token"))
+    rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
+    digest = F.sha2(F.concat("own", "text"), 256)
+    alone = F.regexp_replace(F.base64(F.unhex(digest)), "[^A-Za-z0-9]", "")
+    sampled = text.select(values.alias("values"), F.array(alone, F.upper(alone), F.sha2(digest, 256)).alias("drawn"),
+                          F.regexp_extract_all(rest, F.lit(f"{_PART}{{2,}}"), F.lit(0)).alias("runs"))
+    thirds = F.transform(F.sequence(F.lit(1), F.size("runs"), F.lit(3)), lambda i: F.slice("runs", i, F.lit(3)))
+    names = F.when(F.size("runs") > 0, F.flatten(F.transform(thirds, lambda words: F.array(
+        F.array_join(F.transform(words, F.initcap), ""),
+        F.concat(F.lower(F.get(words, F.lit(0))), F.array_join(F.transform(F.slice(words, F.lit(2), F.lit(2)), F.initcap), "")),
+        F.upper(F.get(words, F.lit(0)))))))
+    told = lambda tokens, random: sampled.select(F.lit(random).alias("random"), F.explode(tokens).alias("token"))
+    return (told(F.concat("values", "drawn"), True).unionByName(told(F.col("runs"), False))
+            .unionByName(told(F.coalesce(names, F.array().cast("array<string>")), False)))
 
 
 def scan_secrets(docs: DataFrame, model: Markov | None, text_column: str = "text") -> DataFrame:

@@ -1,0 +1,59 @@
+"""The secret scan on both sides: ordinary names stay, random keys are found."""
+
+import random
+
+import pytest
+
+from tallyhouse.llm import secrets
+
+WORDS = ("abstract access account action address application archive array article backup balance buffer build button cache calendar category "
+         "channel character client collection column command comment component config connection content context controller count currency "
+         "customer data default delete description device directory document download editor element encoder engine error event export factory "
+         "field file filter folder format frame function gallery graph group handler header history image import index input instance interface "
+         "item journal kernel language layout library limit list local logger manager market message method model module monitor network node "
+         "number object option order package page parser password path payment pixel player point policy pool port position process product "
+         "profile program project property provider proxy query queue random range reader record region register report request resource "
+         "response result review route sample schema screen search section server service session setting shared singleton source storage "
+         "stream string student style summary support switch system table target template thread timeout title token transaction transfer "
+         "update upload user value vector version video view virtual visitor volume wallet weather widget window worker writer").split()
+PROBED = ["see https://en.wikipedia.org/wiki/Large_language_model for more", "the file /usr/local/share/applications/readme is here",
+          "call maximum_buffer_length_in_bytes now", "use AbstractSingletonProxyFactoryBean"]
+
+
+def ordinary(draw):
+    words = draw.sample(WORDS, draw.randint(2, 5))
+    return draw.choice([
+        lambda: "/" + "/".join(words) + "." + draw.choice(["py", "html", "conf", "tar.gz"]),
+        lambda: f"https://www.{words[0]}{words[1]}.com/" + "/".join(words[1:]) + f"?page={draw.randrange(100)}&id={draw.randrange(10 ** 7)}",
+        lambda: "".join(w.capitalize() for w in words), lambda: words[0] + "".join(w.capitalize() for w in words[1:]),
+        lambda: "_".join(words), lambda: "_".join(words).upper(), lambda: "-".join(words), lambda: f"{words[0]}{draw.randrange(10 ** 4)}.{words[1]}",
+        lambda: f"{words[0]}-20{draw.randrange(10, 30)}{draw.randrange(10, 13)}{draw.randrange(10, 29)}-{draw.randrange(10 ** 9)}",
+        lambda: "".join(words)])()
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return secrets.train(secrets.labelled_tokens(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")))
+
+
+def flagged(spark, texts, model):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [len(r.secret_spans) for r in sorted(secrets.scan_secrets(df, model).collect(), key=lambda r: r.doc_id)]
+
+
+def test_ordinary_names_stay_and_random_keys_are_found(spark, model):
+    draw = random.Random(11)
+    names = [ordinary(draw) for _ in range(2000)]
+    false = sum(map(bool, flagged(spark, [f"see {n} there" for n in names], model)))
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    found = {}
+    for length in (12, 14, 16, 19, 20, 24, 32, 40):
+        keys = ["".join(draw.choice(signs) for _ in range(length)) for _ in range(300)]
+        found[length] = sum(map(bool, flagged(spark, [f"the value {k} was seen" for k in keys], model))) / 300
+    print(f"ordinary names flagged: {false} of 2000; random keys found: {found}; least {model.least}")
+    assert false <= 20 and all(share >= 0.9 for length, share in found.items() if length >= 16)
+
+
+def test_probed_sentences_stay(spark, model):
+    df = spark.createDataFrame(list(enumerate(PROBED)), "doc_id long, text string")
+    assert [r.text for r in sorted(secrets.redacted(secrets.scan_secrets(df, model)).collect(), key=lambda r: r.doc_id)] == PROBED
