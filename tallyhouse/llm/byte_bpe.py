@@ -15,7 +15,7 @@ import base64
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -34,15 +34,16 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\Z")
 class RankQueue:
     """Buckets of positions by rank under a hierarchical bitmap, for the lowest rank's leftmost position.
 
-    ``low`` has a bit for each rank whose bucket holds something, ``middle`` one
-    for each word of ``low`` that is not zero; the top word, one for each such
-    word of ``middle``, is zero between pre-tokens and kept by ``merge``. Three
-    levels of 64-bit words serve 262,144 ranks.
+    ``low`` has a bit for each rank whose bucket holds something, in words of
+    512 bits; ``middle`` is one such word with a bit for each word of ``low``
+    that is not zero. Everything is empty between pre-tokens. Two levels serve
+    262,144 ranks.
     """
 
     def __init__(self):
         self.buckets: dict[int, list[int]] = {}
-        self.low, self.middle = [0] * 4096, [0] * 64
+        self.low, self.middle = [0] * 512, [0]
+        self.bit = [1 << i for i in range(512)]
 
 
 class Ranks:
@@ -53,51 +54,48 @@ class Ranks:
             self.rank = {base64.b64decode(token): int(number) for token, number in map(bytes.split, file)}
         self.size = 1 + max(self.rank.values())
         if self.size > 1 << 18:
-            raise ValueError("the rank queue has three levels, for 262,144 ranks")
-        self.longest = max(map(len, self.rank))
+            raise ValueError("the rank queue has two levels, for 262,144 ranks")
         self.bytes = [b""] * self.size
         for token, number in self.rank.items():
             self.bytes[number] = token
-        self.decimal = list(map(str, range(self.size)))
+        self.single = [self.rank[bytes([byte])] for byte in range(256)]
+        self.pair = [self.rank.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
         self.queue = RankQueue()  # empty again after each pre-token
 
+    @cached_property
+    def tables(self) -> tuple[pa.Array, pa.Array]:
+        """Every id's bytes; every id in decimal after a comma, and then without one."""
+        decimal = list(map(str, range(self.size)))
+        return pa.array(self.bytes, pa.large_binary()), pa.array([f",{d}" for d in decimal] + decimal, pa.large_string())
+
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        rank = self.rank
-        whole = rank.get(piece)
+        lookup = self.rank.get
+        whole = lookup(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
+        n, pairs = len(piece), self.pair
         after = list(range(1, n + 1))      # the next list position; n ends the list
         before = list(range(-1, n - 1))
-        lookup, longest = rank.get, self.longest
-        pair = [lookup(piece[at:at + 2], -1) for at in range(n)]  # rank of the pair that begins here, -1: none
-        pair[-1] = -1
-        # The queue's two operations stand in line here: they are nearly all of the work.
-        buckets, low, middle, top = self.queue.buckets, self.queue.low, self.queue.middle, 0
-        arrived = [(number, at) for at, number in enumerate(pair) if number >= 0]
-        while True:
-            for number, at in arrived:     # push
-                bucket = buckets.get(number)
-                if bucket is not None:
-                    heappush(bucket, at)
-                    continue
-                buckets[number] = [at]
-                word = number >> 6
-                bits = low[word]
-                low[word] = bits | 1 << (number & 63)
-                if not bits:
-                    bits = middle[word >> 6]
-                    middle[word >> 6] = bits | 1 << (word & 63)
-                    if not bits:
-                        top |= 1 << (word >> 6)
-            if not top:
-                break
-            upper = (top & -top).bit_length() - 1          # pop: find first set, level by level
-            bits = middle[upper]
-            word = upper << 6 | (bits & -bits).bit_length() - 1
+        pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of the pair that begins here, -1: none
+        pair.append(-1)
+        token = [self.single[byte] for byte in piece]
+        # The queue's operations stand in line here: they are nearly all of the work.
+        queue = self.queue
+        buckets, low, bit, (top,) = queue.buckets, queue.low, queue.bit, queue.middle
+        for at, number in enumerate(pair):
+            if number >= 0:
+                if number in buckets:
+                    buckets[number].append(at)     # ascending, and so a heap
+                else:
+                    buckets[number] = [at]
+                    word = number >> 9
+                    top |= bit[word]
+                    low[word] |= bit[number & 511]
+        while top:
+            word = (top & -top).bit_length() - 1   # pop: find first set, level by level
             bits = low[word]
-            number = word << 6 | (bits & -bits).bit_length() - 1
+            number = word << 9 | (bits & -bits).bit_length() - 1
             bucket = buckets[number]
             if len(bucket) > 1:
                 at = heappop(bucket)
@@ -106,31 +104,42 @@ class Ranks:
                 del buckets[number]
                 low[word] = bits = bits & bits - 1
                 if not bits:
-                    middle[upper] = bits = middle[upper] & middle[upper] - 1
-                    if not bits:
-                        top &= top - 1
+                    top &= top - 1
             if pair[at] != number:
-                arrived = ()               # stale
-                continue
+                continue                   # stale
             gone = after[at]
             after[at] = follower = after[gone]
+            token[at] = number
             pair[gone] = pair[at] = -1
-            arrived = []
             if follower < n:
                 before[follower] = at
-                end = after[follower]
-                if end - at <= longest and (found := lookup(piece[at:end], -1)) >= 0:
+                found = lookup(piece[at:after[follower]])
+                if found is not None:
                     pair[at] = found
-                    arrived.append((found, at))
+                    if found in buckets:
+                        heappush(buckets[found], at)
+                    else:
+                        buckets[found] = [at]
+                        word = found >> 9
+                        top |= bit[word]
+                        low[word] |= bit[found & 511]
             left = before[at]
             if left >= 0:
-                pair[left] = -1
-                if follower - left <= longest and (found := lookup(piece[left:follower], -1)) >= 0:
+                found = lookup(piece[left:follower])
+                if found is None:
+                    pair[left] = -1
+                else:
                     pair[left] = found
-                    arrived.append((found, left))
-        ids, at = [], 0
+                    if found in buckets:
+                        heappush(buckets[found], left)
+                    else:
+                        buckets[found] = [left]
+                        word = found >> 9
+                        top |= bit[word]
+                        low[word] |= bit[found & 511]
+        ids, at = [], 0                    # nothing is left in the queue, its middle word is zero as before
         while at < n:
-            ids.append(rank[piece[at:after[at]]])
+            ids.append(token[at])
             at = after[at]
         return ids
 
@@ -187,6 +196,25 @@ class ByteBpe:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.ranks.bytes.__getitem__, ids))
 
+    def decode_all(self, ids: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        """Of several texts, one after another from ``starts``: the bytes, and the ids in decimal with commas between.
+
+        Each is a gather from a table whose result lies in memory as wanted;
+        only the places where texts begin must be told.
+        """
+        held, decimal = self.ranks.tables
+        listed = ids.astype(np.int64)
+        full = starts[:-1][starts[:-1] < starts[1:]]
+        listed[full] += self.ranks.size    # a text's first id has no comma before it
+        return _cut(held.take(pa.array(ids)), starts, pa.binary()), _cut(decimal.take(pa.array(listed)), starts, pa.string())
+
+
+def _cut(parts: pa.Array, starts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """``parts`` joined between each start and the next."""
+    _, offsets, data = parts.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(parts) + 1)[starts]
+    return pa.Array.from_buffers(kind, len(starts) - 1, [None, pa.py_buffer(ends.astype(np.int32)), data])
+
 
 @lru_cache(maxsize=4)
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
@@ -212,6 +240,18 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, id_column: str =
     return id_and_text(docs, id_column, text_column).mapInArrow(run, "doc_id long, ids binary")
 
 
+def _bounded(batch: pa.RecordBatch, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Stretches of the batch with about ``most`` ids at most, or single rows with more."""
+    begin = held = 0
+    for row, ids in enumerate(batch.column("ids")):
+        size = len(ids.as_buffer()) // 4
+        if row > begin and held + size > most:
+            yield batch.slice(begin, row - begin)
+            begin, held = row, 0
+        held += size
+    yield batch.slice(begin)
+
+
 def decode_documents(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes its ids stand for, and ``listing``, the ids in decimal."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("listing", pa.string()),
@@ -219,13 +259,13 @@ def decode_documents(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_bpe(ranks, pattern)
-        decimal = coder.ranks.decimal.__getitem__
         for batch in slices(batches):
-            lists = [np.frombuffer(ids, "<u4").tolist() for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(list(map(len, lists)), pa.int64()),
-                 pa.array([",".join(map(decimal, ids)) for ids in lists]),
-                 pa.array(list(map(coder.decode, lists)), pa.binary())], schema=schema)
+            for part in _bounded(batch):
+                ids = part.column("ids").to_pylist()
+                lengths = np.array([len(i) // 4 for i in ids], np.int64)
+                starts = np.concatenate(([0], np.cumsum(lengths)))
+                decoded, listing = coder.decode_all(np.frombuffer(b"".join(ids), "<u4"), starts)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lengths), listing, decoded], schema=schema)
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id long, n_tokens long, listing string, decoded binary")
