@@ -19,8 +19,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 GENERATION, LONGEST_KEPT = 250_000, 64
 _BEYOND = re.compile("[^\x00-\xff]")
-#: A mark between a letter and white space, and so a run of marks of its own.
-_LONE_MARK = re.compile(r"(?<=[a-zß-öø-ÿ])[.,;:!?](?=[ \n]|\Z)")
+#: A mark between a letter and white space, and so a run of marks of its own. The mark is the rarest and looked for first.
+_LONE_MARK = re.compile(r"[.,;:!?](?=[ \n]|\Z)(?<=[a-zß-öø-ÿ].)")
 #: What the splitter leaves whole and neither normal form nor case changes.
 _PLAIN = re.compile(r"(?:[a-zß-öø-ÿ]+|[.,;:!?])\Z")
 
