@@ -18,8 +18,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no language model accepts go; the accepted ones keep their rows as they are."""
+    """Documents that no language model accepts go; the accepted ones keep their rows as they are.
+
+    Without any labelled row there is no model to reject by: every text that has a letter stays.
+    """
     model = langid.train(docs)
+    if model is None:
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     return langid.identify(docs.select(*COLUMNS), model).where("lang_accepted").select(*COLUMNS)
 
 

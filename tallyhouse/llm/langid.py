@@ -224,13 +224,14 @@ def _share_of(sample: Column) -> Column:
 
 
 def train(labelled: DataFrame, per_language: int = 1500, calibration: float = 0.2, id_column: str = "doc_id",
-          text_column: str = "text", lang_column: str = "lang") -> Model | None:
+          text_column: str = "text", lang_column: str = "lang", few: int = 40) -> Model | None:
     """The model of all languages in ``labelled``; rows without id, text or language are left out.
 
     ``per_language`` bounds the sample: a language with more documents is
     sampled by a hash of the ids down to about that number. ``calibration`` is
     the share of the sample that sets score and rejection and is not trained
-    on. None if there is nothing to learn from.
+    on; a language with fewer than ``few`` rows is trained on all of them, has
+    no share there and rejects nothing. None if there is nothing to learn from.
     """
     rows = labelled.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"),
                            F.col(lang_column).cast("string").alias("lang")).dropna()
@@ -238,7 +239,10 @@ def train(labelled: DataFrame, per_language: int = 1500, calibration: float = 0.
     if not sizes:
         return None
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))))
-    sample = rows.withColumn("draw", _share_of(F.col("doc_id")) / share[F.col("lang")]).where("draw <= 1")
+    # Of very few rows all might fall into the calibration share, and the language would be lost.
+    held = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, calibration if n >= few else -1.0)))
+    sample = (rows.withColumn("draw", _share_of(F.col("doc_id")) / share[F.col("lang")]).where("draw <= 1")
+              .withColumn("held", F.col("draw") <= held[F.col("lang")]))
     grams_schema = pa.schema([("lang", pa.string()), *((f"c{i}", pa.int32()) for i in range(ORDER)), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +259,7 @@ def train(labelled: DataFrame, per_language: int = 1500, calibration: float = 0.
                      pa.array(number.astype(np.int64))], schema=grams_schema)
 
     names = [f"c{i}" for i in range(ORDER)]
-    trained = sample.where(F.col("draw") > calibration).select("lang", "text")
+    trained = sample.where("not held").select("lang", "text")
     counted = (trained.mapInArrow(count, "lang string, " + ", ".join(f"{c} int" for c in names) + ", n long")
                .groupBy("lang", *names).agg(F.sum("n").alias("n")))
     frame = counted.toPandas()  # as many rows as the bounded sample has distinct n-grams
@@ -266,7 +270,7 @@ def train(labelled: DataFrame, per_language: int = 1500, calibration: float = 0.
     orders, floor = _estimate(grams, languages)
     width = len(languages)
     draft = Model(languages, orders, floor, 1.0, np.zeros(width), np.full(width, np.inf))
-    return _calibrated(draft, sample.where(F.col("draw") <= calibration).select("lang", "text"))
+    return _calibrated(draft, sample.where("held").select("lang", "text"))
 
 
 def _calibrated(draft: Model, held: DataFrame) -> Model:

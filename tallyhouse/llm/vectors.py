@@ -4,19 +4,22 @@ Every unit vector o is rotated by one random orthogonal matrix and stored as
 the signs of the result (its binary code) with one correction factor, the
 inner product <code, o>. For a query q, <code, q> / <code, o> estimates <o, q>
 without bias, and its error is below ``sureness`` standard errors of
-sqrt((1 - f²) / f²) / sqrt(D - 1) with f the factor. Pairs whose upper bound
-stays under the limit are dropped; the others are computed exactly, in double
-precision.
+sqrt(1 - <o, q>²) sqrt((1 - f²) / f²) / sqrt(D - 1) with f the factor. At the
+limit or above it the first root is sqrt(1 - limit²) at most, so pairs whose
+estimate falls short of the limit by more than that allows are dropped; the
+others are computed exactly, in double precision.
 
 Pairs to estimate come from cells: centroids are fitted on a bounded sample,
 every vector has its nearest cell as home and also visits every cell whose
 border with its home is within half the limit's angle. Of two linked vectors
 with different homes, the angles to the border between these add up to the
 limit's angle at most, so one of the two visits the other's home: no link is
-lost however many cells there are. A cell's vectors are dealt to blocks, and each pair of blocks is one
-piece of work, so a cell with very many vectors is not one task. What leaves a
-piece is one row per vector, with its number of links and the smallest vector
-it is connected to, never the pairs.
+lost however many cells there are. Cells are large: to estimate a vector
+against some thousands of others costs less than to ship it to one more cell.
+A cell's vectors are dealt to blocks, and each pair of blocks is one piece of
+work, so a cell with very many vectors is not one task. A piece is worked off
+in strips of a bounded number of pairs; what leaves it is one row per vector,
+with its number of links and a vector it is connected to, never the pairs.
 """
 
 from __future__ import annotations
@@ -27,23 +30,26 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.common import components, local_roots, slices
+from tallyhouse.llm.common import components, slices
 from tallyhouse.session import written
 
 
 class Plan(NamedTuple):
     """``limit``: least cosine of a link; ``cell_rows``: vectors wanted per cell; ``probes``: cells a vector
-    is compared in at least, more as the limit demands; ``block``: vectors per block; ``sample`` bounds the vectors that centroids are fitted on
-    and ``most_cells`` the cells; ``sureness``: standard errors of the bound."""
+    is compared in at least, more as the limit demands; ``block``: vectors per block; ``strip``: pairs estimated
+    at once; ``sample`` bounds the vectors that centroids are fitted on and ``most_cells`` the cells;
+    ``sureness``: standard errors of the bound; a linked pair falls out with a chance below one in three million."""
     limit: float = 0.9
-    cell_rows: int = 512
-    probes: int = 4
-    block: int = 2048
+    cell_rows: int = 8192
+    probes: int = 1
+    block: int = 8192
+    strip: int = 1 << 22
     sample: int = 20_000
     most_cells: int = 4096
-    sureness: float = 3.0
+    sureness: float = 5.0
     seed: int = 7
 
 
@@ -112,85 +118,120 @@ def _placed(classes: DataFrame, index: Index, plan: Plan) -> DataFrame:
                         ("code", pa.binary()), ("factor", pa.float32())])
     shared = classes.sparkSession.sparkContext.broadcast(index)
 
-    def told(out: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        out = [[] for _ in schema]
         for batch in slices(batches):
             vectors = batch.column("embedding").to_pylist()
-            cids, copies = batch.column("cid").to_pylist(), batch.column("copies").to_pylist()
             for dim in {len(v) for v in vectors}:
                 some = [i for i, v in enumerate(vectors) if len(v) == dim]
                 unit = units([vectors[i] for i in some])
                 visits = visited(unit, index.centroids[dim], plan)
                 rotated = unit @ index.rotations[dim].T
                 codes = np.packbits(rotated > 0, axis=1)
-                factors = np.abs(rotated).sum(axis=1) / math.sqrt(dim)
-                for row, i in enumerate(some):
-                    probes = (visits[row] + index.offsets[dim]).tolist()
-                    for cell in probes:
-                        # Only at home a vector is asked which cells it visits.
-                        for column, value in zip(out, (cell, probes[0], probes if cell == probes[0] else [], cids[i], copies[i],
-                                                       unit[row].tobytes(), codes[row].tobytes(), float(factors[row]))):
-                            column.append(value)
-                    if len(out[0]) >= 4096:
-                        yield told(out)
-                        out = [[] for _ in schema]
-        if out[0]:
-            yield told(out)
+                factors = (np.abs(rotated).sum(axis=1) / math.sqrt(dim)).astype(np.float32)
+                sizes = np.array([len(cells) for cells in visits])
+                cells = (np.concatenate(visits) + index.offsets[dim]).astype(np.int32)
+                row = np.repeat(np.arange(len(some)), sizes)
+                first = (np.cumsum(sizes) - sizes)[row]
+                # Only at home a vector is asked which cells it visits.
+                upto = np.append(np.where(np.arange(len(row)) == first, first, first + sizes[row]), len(row))
+                own = [batch.column(c).take(pa.array(some)) for c in ("cid", "copies")]
+                wide = [pa.array([x.tobytes() for x in part], pa.binary()) for part in (unit, codes)]
+                for at in range(0, len(row), 4096):
+                    part = slice(at, at + 4096)
+                    of = pa.array(row[part])
+                    bounds = upto[at:at + len(of) + 1]
+                    probes = pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)),
+                                                      pa.array(cells[bounds[0]:bounds[-1]]))
+                    columns = [pa.array(cells[part]), pa.array(cells[first[part]]), probes, *(c.take(of) for c in own),
+                               *(c.take(of) for c in wide), pa.array(factors[row[part]])]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return classes.mapInArrow(run, _PLACED)
 
 
 class _Side(NamedTuple):
+    """Vectors of one side of a piece; ``visitor`` and ``cell`` list the cells each one visits."""
     cid: np.ndarray
     copies: np.ndarray
     home: np.ndarray
-    probes: list
+    visitor: np.ndarray
+    cell: np.ndarray
     unit: np.ndarray
     code: list
     factor: np.ndarray
 
 
 def _side(rows: pa.Table) -> _Side:
-    unit = np.array([np.frombuffer(v, np.float64) for v in rows.column("vector").to_pylist()])
-    return _Side(*(rows.column(c).to_numpy() for c in ("cid", "copies", "home")), rows.column("probes").to_pylist(),
+    rows = rows.combine_chunks()
+    probes = rows.column("probes")
+    cells = np.concatenate([part.flatten().to_numpy() for part in probes.chunks])
+    visitor = np.repeat(np.arange(len(rows)), pc.list_value_length(probes).to_numpy())
+    unit = np.frombuffer(b"".join(rows.column("vector").to_pylist()), np.float64).reshape(len(rows), -1)
+    return _Side(*(rows.column(c).to_numpy() for c in ("cid", "copies", "home")), visitor, cells,
                  unit, rows.column("code").to_pylist(), rows.column("factor").to_numpy().astype(np.float64))
 
 
+def _signs(codes: list, factors: np.ndarray, dim: int) -> np.ndarray:
+    """Codes as rows of numbers, corrected by their factors."""
+    bits = np.unpackbits(np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1), axis=1, count=dim)
+    return (bits.astype(np.float32) * 2 - 1) / (math.sqrt(dim) * factors[:, None]).astype(np.float32)
+
+
+def _spread(factors: np.ndarray, dim: int, sureness: float) -> np.ndarray:
+    return sureness * np.sqrt(np.maximum(1 - factors ** 2, 0)) / factors / math.sqrt(max(dim - 1, 1))
+
+
 def estimates(codes: list, factors: np.ndarray, queries: np.ndarray, sureness: float) -> tuple[np.ndarray, np.ndarray]:
-    """Unbiased estimates of the inner products (one row per code) and each code's bound of the error."""
+    """Unbiased estimates of the inner products (one row per code) and each code's bound of the error.
+
+    The bound holds for any inner product x; it may be multiplied by sqrt(1 - x²).
+    """
     dim = queries.shape[1]
-    bits = np.unpackbits(np.array([np.frombuffer(c, np.uint8) for c in codes]), axis=1, count=dim)
-    signs = (bits.astype(np.float32) * 2 - 1) / math.sqrt(dim)
-    found = signs @ queries.T.astype(np.float32) / factors[:, None]
-    spread = np.sqrt(np.maximum(1 - factors ** 2, 0)) / factors / math.sqrt(max(dim - 1, 1))
-    return found, sureness * spread
+    return _signs(codes, factors, dim) @ queries.T.astype(np.float32), _spread(factors, dim, sureness)
 
 
-def _links(members: _Side, queries: _Side, same: bool, rotation: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of linked pairs (member, query), each pair of vectors once."""
-    found, bound = estimates(members.code, members.factor, queries.unit @ rotation.T, plan.sureness)
+def _links(members: _Side, queries: _Side, same: bool, rotation: np.ndarray,
+           plan: Plan) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of linked pairs (member, query), each pair of vectors once, a strip of members at a time."""
+    dim = len(rotation)
+    signs = _signs(members.code, members.factor, dim)
+    turned = (queries.unit @ rotation.T).astype(np.float32).T
     # float32 sums may be off by a few units in the last place, which the bound need not cover.
-    left, right = np.nonzero(found + bound[:, None] >= plan.limit - 1e-5)
-    if same:
-        left, right = left[left < right], right[left < right]
-    kept_left, kept_right = [], []
-    for at in range(0, len(left), 1 << 16):
-        a, b = left[at:at + (1 << 16)], right[at:at + (1 << 16)]
-        close = np.einsum("ij,ij->i", members.unit[a], queries.unit[b]) >= plan.limit
-        kept_left.append(a[close])
-        kept_right.append(b[close])
-    left, right = np.concatenate(kept_left or [left]), np.concatenate(kept_right or [right])
-    foreign = np.flatnonzero(members.home[left] != queries.home[right]) if len(left) else []
-    keep = np.ones(len(left), bool)
-    for at in foreign:
-        # Found from the other cell as well if the member visits it: the smaller cell counts it.
-        cell, other = members.home[left[at]], queries.home[right[at]]
-        keep[at] = not (other < cell and other in members.probes[left[at]])
-    return left[keep], right[keep]
+    least = (plan.limit - 1e-5 - math.sqrt(max(1 - plan.limit ** 2, 0))
+             * _spread(members.factor, dim, plan.sureness)).astype(np.float32)
+    # Found from the other cell as well if the member visits it: the smaller cell counts it.
+    homes, home = np.unique(queries.home, return_inverse=True)
+    elsewhere = np.zeros((len(signs), len(homes)), bool)
+    place = np.minimum(np.searchsorted(homes, members.cell), len(homes) - 1)
+    meant = (homes[place] == members.cell) & (members.cell < members.home[members.visitor])
+    elsewhere[members.visitor[meant], place[meant]] = True
+    step = max(1, plan.strip // len(queries.cid))
+    for first in range(0, len(signs), step):
+        left, right = np.nonzero(signs[first:first + step] @ turned >= least[first:first + step, None])
+        left += first
+        fine = ~elsewhere[left, home[right]]
+        if same:
+            fine &= left < right
+        left, right = left[fine], right[fine]
+        close = [np.einsum("ij,ij->i", members.unit[left[at:at + (1 << 16)]], queries.unit[right[at:at + (1 << 16)]]) >= plan.limit
+                 for at in range(0, len(left), 1 << 16)]
+        if close:
+            close = np.concatenate(close)
+            yield left[close], right[close]
+
+
+def _connect(root: np.ndarray, one: np.ndarray, other: np.ndarray) -> None:
+    """Merge in place the groups that the pairs connect; ``root`` names each position's smallest one of its group."""
+    while True:
+        a, b = root[one], root[other]
+        apart = a != b
+        if not apart.any():
+            return
+        one, other, a, b = one[apart], other[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
 
 
 def vector_groups(table: DataFrame, plan: Plan = Plan(), id_column: str = "vec_id",
@@ -242,15 +283,15 @@ def vector_groups(table: DataFrame, plan: Plan = Plan(), id_column: str = "vec_i
         members = _side(piece.filter(pa.array(member)))
         queries = members if same else _side(piece.filter(pa.array(~member)))
         rotation = shared.value.rotations[members.unit.shape[1]]
-        left, right = _links(members, queries, same, rotation, plan)
-        counts: dict[int, int] = {}
-        for a, b, n_a, n_b in zip(members.cid[left].tolist(), queries.cid[right].tolist(),
-                                  members.copies[left].tolist(), queries.copies[right].tolist()):
-            counts[a] = counts.get(a, 0) + n_b
-            counts[b] = counts.get(b, 0) + n_a
-        roots = local_roots(zip(members.cid[left].tolist(), queries.cid[right].tolist()))
-        return pa.table({"u": pa.array(list(counts), pa.int64()), "v": pa.array([roots[c] for c in counts], pa.int64()),
-                         "n": pa.array(list(counts.values()), pa.int64())}, schema=schema)
+        shift = 0 if same else len(members.cid)
+        cids = members.cid if same else np.concatenate((members.cid, queries.cid))
+        counts, root = np.zeros(len(cids), np.int64), np.arange(len(cids))
+        for left, right in _links(members, queries, same, rotation, plan):
+            np.add.at(counts, left, queries.copies[right])
+            np.add.at(counts, right + shift, members.copies[left])
+            _connect(root, left, right + shift)
+        some = np.flatnonzero(counts)
+        return pa.table({"u": pa.array(cids[some]), "v": pa.array(cids[root[some]]), "n": pa.array(counts[some])}, schema=schema)
 
     linked = written(dealt.groupBy("piece").applyInArrow(compare, "u long, v long, n long"), "linked")
     counted = linked.groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))

@@ -25,12 +25,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.common import slices, store_of
 
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>|<title\b[^>]*>.*?</title\s*>")
+_OPENER = re.compile(r"(?i)<!--|<(script|style|noscript|template|title)\b")
+_CLOSERS = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "noscript", "template", "title")}
 _BREAKS = re.compile(r"(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|main|aside|body|head|"
                      r"html|blockquote|pre|form|hr|dd|dt|dl|figure|option|td|th)\b[^>]*>")
 _TAGS = re.compile(r"<[!/?a-zA-Z][^>]*>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LINK = re.compile(r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_TITLE = re.compile(r"(?i)<title\b")
+_ANCHOR = re.compile(r"(?i)<a\b")
+_HREF = re.compile(r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_LONG_NUMBER = re.compile(r"&#0*+([0-9]*);?")
 
 
 def digest(block: bytes) -> str:
@@ -43,10 +46,71 @@ def squeezed(text: str) -> str:
     return "\n".join(line for line in (" ".join(part.split()) for part in text.split("\n")) if line)
 
 
-def text_of(page: str) -> str:
-    """The page's visible text, a line per block; character references resolved after the tags are gone."""
-    page = _HIDDEN.sub(" ", page).replace("\r", " ").replace("\n", " ")
-    return squeezed(html.unescape(_TAGS.sub("", _BREAKS.sub("\n", page))))
+def without_hidden(page: str) -> str:
+    """The page with a space for each comment and each hidden element; what is never closed stays.
+
+    One pass: the end of a kind is looked for in vain at most once, so the time grows with the length.
+    """
+    parts, at, look, open_kinds = [], 0, 0, {"", *_CLOSERS}
+    while open_kinds and (opener := _OPENER.search(page, look)):
+        look, kind = opener.end(), (opener[1] or "").lower()
+        if kind not in open_kinds:
+            continue
+        if kind:
+            tag_end = page.find(">", look)
+            if tag_end < 0:
+                open_kinds &= {""}
+                continue
+            closer = _CLOSERS[kind].search(page, tag_end + 1)
+            end = closer.end() if closer else -1
+        else:
+            end = page.find("-->", look) + 3 if page.find("-->", look) >= 0 else -1
+        if end < 0:
+            open_kinds.discard(kind)
+            continue
+        parts += page[at:opener.start()], " "
+        at = look = end
+    return "".join(parts) + page[at:]
+
+
+def title_of(page: str) -> str | None:
+    """What the first title holds; None without a closed one."""
+    opener = _TITLE.search(page)
+    tag_end = page.find(">", opener.end()) if opener else -1
+    closer = _CLOSERS["title"].search(page, tag_end + 1) if tag_end >= 0 else None
+    return page[tag_end + 1:closer.start()] if closer else None
+
+
+def links_of(visible: str) -> list[str]:
+    """The first target of each anchor, in order; each stretch of the page is searched once."""
+    found, look, tag_end = [], 0, 0
+    href = _HREF.search(visible)
+    while href and (anchor := _ANCHOR.search(visible, look)):
+        look = anchor.end()
+        if href.start() < look:
+            href = _HREF.search(visible, look)
+        if 0 <= tag_end < look:
+            tag_end = visible.find(">", look)
+        if href and (tag_end < 0 or href.start() < tag_end):
+            found.append(next(part for part in href.groups() if part is not None))
+            look = href.end()
+    return found
+
+
+def unescaped(text: str) -> str:
+    """Character references resolved; a number of any length is allowed."""
+    def shortened(number: re.Match) -> str:
+        return number[0] if len(number[0]) < 20 else "\ufffd" if len(number[1]) > 7 else f"&#{number[1] or 0};"
+
+    return html.unescape(_LONG_NUMBER.sub(shortened, text))
+
+
+def text_of(visible: str) -> str:
+    """The text of a page without its hidden parts, a line per block; character references resolved after the tags are gone."""
+    visible = visible.replace("\r", " ").replace("\n", " ")
+    # Behind the last ">" no tag ends, and none is looked for.
+    last = visible.rfind(">") + 1
+    return squeezed(unescaped(_TAGS.sub("", _BREAKS.sub("\n", visible[:last])) + visible[last:]))
 
 
 def split_message(message: bytes) -> tuple[str, list[list[str]], bytes]:
@@ -74,13 +138,13 @@ def _pair(source_id, own_id: str, target: str, date: str, message: bytes) -> Ite
     status, headers, payload = split_message(message)
     page = payload.decode("utf-8", "replace")
     block_digest, payload_digest = digest(message), digest(payload)
-    title = _TITLE.search(page)
+    title, visible = title_of(page), without_hidden(page)
     metadata = json.dumps({
         "refers_to": own_id, "target_uri": target, "status": status, "headers": headers,
         "payload_length": len(payload), "block_digest": block_digest, "payload_digest": payload_digest,
-        "title": squeezed(html.unescape(title[1])) if title else None,
-        "links": [html.unescape(a or b or c) for a, b, c in _LINK.findall(_HIDDEN.sub(" ", page))]}, ensure_ascii=False)
-    for kind, content, block in (("metadata", "application/json", metadata), ("conversion", "text/plain", text_of(page))):
+        "title": squeezed(unescaped(title)) if title is not None else None,
+        "links": [unescaped(link) for link in links_of(visible)]}, ensure_ascii=False)
+    for kind, content, block in (("metadata", "application/json", metadata), ("conversion", "text/plain", text_of(visible))):
         raw = block.encode()
         yield (source_id, kind, record_id(own_id, kind), own_id, target, date, block_digest, payload_digest,
                digest(raw), content, len(raw), block)
