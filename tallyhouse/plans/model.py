@@ -43,7 +43,7 @@ PRODUCTS = columns(product_id=INT, product_name=TEXT, category=TEXT, price=T.Dec
 CUSTOMERS = columns(customer_id=INT, customer_name=TEXT, city=TEXT, membership=TEXT)
 BRANCHES = columns(branch_id=INT, branch_name=TEXT, state=TEXT)
 
-# Star model.
+# Star model. Generated sale numbers have gaps and outgrow 32 bits.
 STAR = {
     "dim_customer": columns(
         customer_id=INT, customer_name=TEXT, city=TEXT, state=TEXT, membership=TEXT),
@@ -57,7 +57,7 @@ STAR = {
         date_id=INT, date=DATE, day=INT, day_name=TEXT, week_no=INT, month=TEXT,
         quarter=TEXT, year=INT, is_weekend=TEXT),
     "fact_sales": columns(
-        sale_id=INT, customer_id=INT, product_id=INT, branch_id=INT, date_id=INT,
+        sale_id=LONG, customer_id=INT, product_id=INT, branch_id=INT, date_id=INT,
         quantity=INT, total_amount=T.DecimalType(15, 2)),
 }
 

@@ -5,7 +5,7 @@ import pytest
 
 from tallyhouse.operators.totals import key_profile
 from tallyhouse.operators.dimensions import date_dimension
-from tallyhouse.plans import reports
+from tallyhouse.plans import catalog, reports
 from tallyhouse.plans.model import Snowflake, load_star
 
 CUSTOMERS = {13: 720000, 3: 675000, 5: 550000, 4: 360000, 1: 325000, 15: 312500, 2: 280000,
@@ -124,3 +124,14 @@ def test_lookup_ids_stay(spark, star):
     old = {r.category: r.category_id for r in first.collect()}
     assert {c: grown[c] for c in old} == old
     assert sorted(grown.values()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_star_load_numbers_sales_of_several_partitions(spark, tmp_path):
+    """Generated sale numbers of the second partition and later ones need more than 32 bits."""
+    given = "/root/testdata/sf0.001"
+    for name in "region nation customer supplier part orders".split():
+        (tmp_path / f"{name}.parquet").symlink_to(f"{given}/{name}.parquet")
+    lines = spark.read.parquet(f"{given}/lineitem.parquet")
+    lines.repartition(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    counts = {r.table_name: r.row_count for r in catalog.QUERIES["star_load"](spark, str(tmp_path)).collect()}
+    assert counts["fact_sales"] == lines.count() > 0
