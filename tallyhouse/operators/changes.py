@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.functions.expressions import any_differs
 
@@ -82,9 +82,13 @@ def restore_rows(target: DataFrame, earlier: DataFrame, keys: Sequence[str],
 
     Both are states of one table, so a NULL key is the same key in both.
     """
+    return target.unionByName(lost_rows(target, earlier, keys, condition).select(*target.columns))
+
+
+def lost_rows(target: DataFrame, earlier: DataFrame, keys: Sequence[str], condition: Column) -> DataFrame:
+    """Rows of an earlier state that meet ``condition`` and are gone now."""
     wanted, here = earlier.filter(condition).alias("w"), target.select(*keys).alias("t")
-    lost = wanted.join(here, same_key(keys, "w", "t"), "left_anti")
-    return target.unionByName(lost.select(*target.columns))
+    return wanted.join(here, same_key(keys, "w", "t"), "left_anti")
 
 
 def state_of(log: DataFrame, keys: Sequence[str], upto: int) -> DataFrame:
@@ -102,6 +106,37 @@ def state_of(log: DataFrame, keys: Sequence[str], upto: int) -> DataFrame:
     return entries.alias("e").join(last.alias("l"), same, "left_semi").select(*rows)
 
 
+def row_spans(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row a log has inserted, with the versions ``since`` and ``until`` (NULL: still there) it came and went.
+
+    Same contract as :func:`state_of`. One shuffle serves all versions: once
+    stored, each state and each version's changes are a filter of the spans.
+    """
+    log = log.withColumn("_moment", F.col("version") * 2 + (F.col("op") == "I").cast("long"))
+    back = Window.partitionBy(*keys).orderBy(F.desc("_moment"))
+    # Entries of one moment end together, at the key's next moment.
+    log = log.withColumn("_later", F.lag("_moment").over(back))
+    later = F.when(F.col("_later") > F.col("_moment"), F.col("_later"))
+    following = F.last(later, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
+    rows = [c for c in log.columns if c not in ("op", "version", "_moment", "_later")]
+    return (log.withColumn("_following", following).filter("op = 'I'")
+            .select(*rows, F.col("version").alias("since"), F.shiftright("_following", 1).alias("until")))
+
+
+def present_at(spans: DataFrame, version: int) -> DataFrame:
+    """The rows of ``row_spans`` present after ``version``."""
+    there = (F.col("since") <= version) & F.coalesce(F.col("until") > version, F.lit(True))
+    return spans.filter(there).drop("since", "until")
+
+
+def changes_at(spans: DataFrame, version: int) -> DataFrame:
+    """What ``version`` did to the rows of ``row_spans``, with ``action`` INSERT or DELETE; an update is both."""
+    actions = F.filter(F.array(F.when(F.col("until") == version, "DELETE"), F.when(F.col("since") == version, "INSERT")),
+                       lambda action: action.isNotNull())
+    touched = spans.filter((F.col("until") == version) | (F.col("since") == version))
+    return touched.withColumn("action", F.explode(actions)).drop("since", "until")
+
+
 def net_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What turns one state into the other, as rows with ``action`` and ``is_update``.
 

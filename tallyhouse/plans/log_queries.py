@@ -160,21 +160,18 @@ _FINAL = """(SELECT CAST(year(sale_date) AS BIGINT) AS year, order_amount,
 
 def _maintained_orders(w: Warehouse) -> tuple[Maintained, int]:
     """Totals by status and year that followed the log: loads, deletions, updates, then deleted orders of 1997 restored."""
-    log = order_log(w)
-    state = lambda version: changes.state_of(log, KEY, version).select(
-        *KEY, "status", F.year("sale_date").cast("long").alias("year"), "order_amount")
+    spans = w.staged("order-spans", lambda: changes.row_spans(order_log(w), KEY).select(
+        *KEY, "status", F.year("sale_date").cast("long").alias("year"), "order_amount", "since", "until"))
     totals = Maintained(new_table_path(w.spark, "maintained-orders"), ["status", "year"], "orders",
                         sums={"total_revenue": "order_amount"},
                         extremes={"smallest_order": ("min", "order_amount"), "largest_order": ("max", "order_amount")})
-    before = state(0)
     for version in (LOADED, ARRIVED, DELETED, CLOSED):
-        after = w.staged(f"orders-{version}", lambda: state(version))
-        totals.apply(changes.net_changes(before, after, KEY), version, after)
-        before = after
+        totals.apply(changes.changes_at(spans, version), version, changes.present_at(spans, version))
     lost = (F.col("status") == "P") & (F.col("year") == 1997)
-    after = w.staged("orders-restored", lambda: changes.restore_rows(before, state(ARRIVED), KEY, lost))
+    before, arrived = (changes.present_at(spans, version) for version in (CLOSED, ARRIVED))
+    restored = w.staged("orders-restored", lambda: changes.lost_rows(before, arrived, KEY, lost))
     for _ in range(2):
-        totals.apply(changes.net_changes(before, after, KEY), CLOSED + 1, after)
+        totals.apply(restored.withColumn("action", F.lit("INSERT")), CLOSED + 1, before.unionByName(restored))
     return totals, CLOSED + 1
 
 

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import asof
-from tallyhouse.operators.changes import net_changes
+from tallyhouse.operators.changes import changes_at, net_changes, present_at, row_spans, state_of
 from tallyhouse.operators.stored_totals import Dashboard, Maintained
 from tallyhouse.operators.totals import key_profile
-from tallyhouse.session import new_table_path
+from tallyhouse.session import new_table_path, written
 
 D = date(2020, 1, 1)
 
@@ -122,3 +122,21 @@ def test_maintained_totals_follow_random_changes(spark):
     for version in range(1, len(states)):
         assert {tuple(r) for r in kept.read(spark, version).collect()} == totals_of([(k, *r) for k, r in states[version].items()])
     assert {tuple(r) for r in kept.read(spark).collect()} == {("a", 1, 4, 4, 4)}
+
+
+def test_spans_give_every_state_and_change_of_a_log(spark):
+    """Random logs with null keys and two inserts in one version: filters of the spans equal what the log gives."""
+    draw = random.Random(5)
+    entries = [(draw.choice([None, *range(9)]), draw.choice([None, 1, 2]), draw.choice("ID"), draw.randint(1, 5)) for _ in range(60)]
+    log = spark.createDataFrame(entries, "k int, v int, op string, version long")
+    spans = row_spans(log, ["k"])
+    bag = lambda df: Counter(tuple(r) for r in df.select("k", "v").collect())
+    for version in range(6):
+        assert bag(present_at(spans, version)) == bag(state_of(log, ["k"], version))
+        feed = changes_at(spans, version)
+        before, after = (bag(present_at(spans, v)) for v in (version - 1, version))
+        came, went = (bag(feed.filter(F.col("action") == action)) for action in ("INSERT", "DELETE"))
+        before.update(came)
+        assert before - went == after and sum(before.values()) - sum(went.values()) == sum(after.values())
+    stored = written(spans, "spans")
+    assert "Exchange" not in changes_at(stored, 3)._jdf.queryExecution().executedPlan().toString()
