@@ -2,7 +2,7 @@
 
 Documents are encoded once and cut into segments, so no row is unbounded.
 Segments are ordered by three min-hashes of the few terms that weigh most in
-them by BM25, with frequencies of a bounded sample, which brings documents with
+them by BM25, with frequencies of all segments, which brings documents with
 rare terms in common together, and cut into shards of about ``shard_tokens``
 tokens; equal hashes are told apart by the document, so a crowd of copies is
 spread over shards as well. Each shard is one task: an inverted index over its
@@ -31,8 +31,7 @@ from tallyhouse.session import written
 class Packing(NamedTuple):
     """``window`` tokens a sequence; segments of ``segment`` tokens; ``terms`` of a seed asked for;
     ``tries`` neighbours looked at before one is cut; ``k1`` and ``b`` of BM25; ``words`` whose ids a worker
-    keeps, in each of two generations (some 150 bytes a word); ``sample`` bounds the documents whose frequencies
-    place the segments, by ``marking`` terms each."""
+    keeps, in each of two generations (some 150 bytes a word); segments are placed by ``marking`` terms each."""
     window: int = 4096
     shard_tokens: int = 1 << 20
     segment: int = 1 << 16
@@ -41,7 +40,6 @@ class Packing(NamedTuple):
     k1: float = 1.2
     b: float = 0.75
     words: int = 500_000
-    sample: int = 10_000
     marking: int = 8
 
 
@@ -57,8 +55,17 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)
 
 
+def _held(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which segment holds which terms how often, by segment, then term."""
+    pairs = np.repeat(np.arange(len(parts)) << 32, list(map(len, parts))) | np.concatenate(parts)
+    pairs.sort()
+    first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+    tf, pairs = np.diff(first, append=len(pairs)), pairs[first]
+    return pairs >> 32, pairs & 0xFFFFFFFF, tf
+
+
 class Places:
-    """Where segments go: by terms' weights in a sample, three orders of the vocabulary and the document's mark."""
+    """Where segments go: by terms' weights in the whole corpus, three orders of the vocabulary and the document's mark."""
 
     def __init__(self, frequencies: dict[int, int], n: int, mean_length: float, vocabulary: int, plan: Packing):
         self.plan, self.mean_length = plan, max(mean_length, 1.0)
@@ -70,15 +77,11 @@ class Places:
         # 16 bits each, so that three and the mark make one number.
         self.ranks = [draw.permutation(vocabulary) * min(1 << 16, vocabulary) // vocabulary for _ in range(3)]
 
-    def of(self, parts: list[np.ndarray], marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of several segments, and how many of them hold each term."""
+    def of(self, parts: list[np.ndarray], marks: np.ndarray) -> np.ndarray:
+        """Places of several segments."""
         plan, n = self.plan, len(parts)
         lengths = np.array(list(map(len, parts)))
-        pairs = np.repeat(np.arange(n) << 32, lengths) | np.concatenate(parts)
-        pairs.sort()
-        first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
-        tf, pairs = np.diff(first, append=len(pairs)), pairs[first]
-        owner, terms = pairs >> 32, pairs & 0xFFFFFFFF
+        owner, terms, tf = _held(parts)
         norm = plan.k1 * (1 - plan.b + plan.b * lengths / self.mean_length)
         weights = self.idf[terms] * tf / (tf + norm[owner])
         # Of each segment's terms the heaviest; those that weigh nothing only where no other is left.
@@ -92,30 +95,27 @@ class Places:
         place = np.zeros(n, np.int64)
         for ranks in self.ranks:
             place = place << 16 | np.minimum.reduceat(ranks[terms[heaviest]], begin)
-        return place << 15 | marks.astype(np.int64) & 0x7FFF, np.bincount(terms, minlength=len(self.idf))
+        return place << 15 | marks & 0x7FFF
 
 
-#: Rows of ``_segments`` with so many tokens are no segments: they tell how many of a task's segments hold each term.
+#: Rows of ``_encoded`` with so many tokens are no segments: they tell how many of a task's segments hold each term.
 COUNTS = -1
 
 
-def _segments(docs: DataFrame, tokenizer: str, end_id: int, plan: Packing, told: tuple[dict[int, int], int, float],
-              counted: bool = False) -> DataFrame:
-    """Segments with their ``place``; ``told``: frequencies, number and mean length of a sample's segments.
+def _encoded(docs: DataFrame, tokenizer: str, end_id: int, plan: Packing) -> DataFrame:
+    """Segments with the ``mark`` of their id and start; rows without an id get one of their own each.
 
-    With ``counted``, a task's last row holds the frequencies of terms in its
-    segments as ``ids`` (64 bits for each term). Equal places are ordered by a
-    mark of id and start; rows without an id get one of their own each.
+    A task's last row holds the frequencies of terms in its segments as
+    ``ids`` (64 bits for each term).
     """
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64()),
-                        ("n_tokens", pa.int64()), ("place", pa.int64()), ("ids", pa.binary())])
+                        ("n_tokens", pa.int64()), ("mark", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer, plan.words)
         end = np.array([end_id], encoder.dtype).tobytes()
         size = encoder.dtype.itemsize
-        places = Places(*told, max(encoder.tokenizer.get_vocab_size(), end_id + 1), plan)
-        frequencies = np.zeros(len(places.idf), np.int64)
+        frequencies = np.zeros(max(encoder.tokenizer.get_vocab_size(), end_id + 1), np.int64)
         unnamed = TaskContext.get().partitionId() << 40
         for batch in slices(batches):
             rows, marks = [], []
@@ -127,16 +127,15 @@ def _segments(docs: DataFrame, tokenizer: str, end_id: int, plan: Packing, told:
                     rows.append((doc_id, start, total, len(part) // size, part))
                     unnamed += doc_id is None
                     marks.append(unnamed if doc_id is None else doc_id * 31 + start & (1 << 63) - 1)
-            found, held = places.of([np.frombuffer(row[-1], encoder.dtype) for row in rows], _mixed(np.array(marks, np.uint64)))
-            frequencies += held
+            frequencies += np.bincount(_held([np.frombuffer(row[-1], encoder.dtype) for row in rows])[1], minlength=len(frequencies))
             *columns, parts = zip(*rows)
+            found = _mixed(np.array(marks, np.uint64)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((*columns, found, parts), schema)], schema=schema)
-        if counted:
-            row = (None, 0, 0, COUNTS, 0, frequencies.astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
+        row = (None, 0, 0, COUNTS, 0, frequencies.astype("<i8").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
     return id_and_text(docs).mapInArrow(
-        run, "doc_id long, start long, doc_tokens long, n_tokens long, place long, ids binary")
+        run, "doc_id long, start long, doc_tokens long, n_tokens long, mark long, ids binary")
 
 
 def _frequencies(counts: DataFrame) -> dict[int, int]:
@@ -151,14 +150,39 @@ def _frequencies(counts: DataFrame) -> dict[int, int]:
     return {row.term: row.n for row in counted.collect()}
 
 
+def _told(made: DataFrame) -> tuple[dict[int, int], int, int]:
+    """Frequencies, number and tokens of all segments of a stored ``_encoded``."""
+    size = made.where(F.col("n_tokens") != COUNTS).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens")).first()
+    return _frequencies(made.where(F.col("n_tokens") == COUNTS)), size.n, size.tokens
+
+
+def _placed(made: DataFrame, tokenizer: str, end_id: int, plan: Packing, told: tuple[dict[int, int], int, float]) -> DataFrame:
+    """The segments of ``_encoded`` with their ``place``; ``told``: frequencies, number and mean length of all segments."""
+    columns = ["doc_id", "start", "doc_tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = word_ids(tokenizer, plan.words)
+        places = Places(*told, max(encoder.tokenizer.get_vocab_size(), end_id + 1), plan)
+        for batch in slices(batches):
+            parts = [np.frombuffer(ids, encoder.dtype) for ids in batch.column("ids").to_pylist()]
+            found = places.of(parts, batch.column("mark").to_numpy())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(found), batch.column("ids")],
+                                             names=[*columns, "place", "ids"])
+
+    return (made.where(F.col("n_tokens") != COUNTS).select(*columns, "mark", "ids")
+            .mapInArrow(run, "doc_id long, start long, doc_tokens long, place long, ids binary"))
+
+
 def _sampled(docs: DataFrame, tokenizer: str, end_id: int, plan: Packing) -> tuple[dict[int, int], int, float]:
-    """Frequencies, number and mean length of the segments of about ``plan.sample`` documents."""
-    texts = id_and_text(docs)
-    share = min(1.0, plan.sample / max(docs.count(), 1))
-    drawn = F.xxhash64("doc_id", "text", F.lit("places")).bitwiseAND(F.lit((1 << 40) - 1)) < share * (1 << 40)
-    some = written(_segments(texts.where(drawn), tokenizer, end_id, plan, ({}, 0, 0.0), counted=True), "sample")
-    size = some.where(F.col("n_tokens") != COUNTS).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("n_tokens"), F.lit(0.0)).alias("mean")).first()
-    return _frequencies(some.where(F.col("n_tokens") == COUNTS)), size.n, size.mean
+    """Frequencies, number and mean length of the segments of ``docs``, all of them: for trials of places alone."""
+    frequencies, n, tokens = _told(written(_encoded(docs, tokenizer, end_id, plan), "segments"))
+    return frequencies, n, tokens / max(n, 1)
+
+
+def _segments(docs: DataFrame, tokenizer: str, end_id: int, plan: Packing, told: tuple[dict[int, int], int, float]) -> DataFrame:
+    """Placed segments of ``docs`` with what ``_sampled`` told: for trials of places alone."""
+    return _placed(_encoded(docs, tokenizer, end_id, plan), tokenizer, end_id, plan, told)
 
 
 class ShardIndex:
@@ -256,15 +280,15 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, plan: Packing = Packing
     its shard's number times 2^32 plus its own.
     """
     spark = docs.sparkSession
-    made = written(_segments(docs, tokenizer, end_id, plan, _sampled(docs, tokenizer, end_id, plan), counted=True), "segments")
-    segments = made.where(F.col("n_tokens") != COUNTS)
-    size = segments.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens")).first()
+    made = written(_encoded(docs, tokenizer, end_id, plan), "segments")
+    frequencies, n_segments, tokens = _told(made)
+    mean_length = tokens / max(n_segments, 1)
+    segments = _placed(made, tokenizer, end_id, plan, (frequencies, n_segments, mean_length))
     dtype = word_ids(tokenizer, plan.words).dtype.str
-    frequencies = _frequencies(made.where(F.col("n_tokens") == COUNTS))
     idf = np.zeros(max(frequencies, default=0) + 1)
     for term, n in frequencies.items():
-        idf[term] = math.log(1 + (size.n - n + 0.5) / (n + 0.5))
-    shared = spark.sparkContext.broadcast((idf, size.tokens / max(size.n, 1)))
+        idf[term] = math.log(1 + (n_segments - n + 0.5) / (n + 0.5))
+    shared = spark.sparkContext.broadcast((idf, mean_length))
     schema = pa.schema([*((c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")),
                         ("ids", pa.binary())])
 
@@ -285,5 +309,5 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, plan: Packing = Packing
             columns = zip(*pieces[first:first + 1024])
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    shards = max(1, math.ceil(size.tokens / plan.shard_tokens))
+    shards = max(1, math.ceil(tokens / plan.shard_tokens))
     return segments.repartitionByRange(shards, "place").mapInArrow(run, _PIECE)

@@ -44,3 +44,10 @@ def test_neighbours_share_a_shard_at_every_size(spark):
     large, before, chance = share_of_neighbours(spark, 4000)
     assert small > before_small and large > 2 * before and large > 5 * chance
     assert large > 0.8 * small  # four times the shards, and about as many neighbours in one
+
+
+def test_frequencies_are_those_of_all_documents(spark):
+    """More documents than the 10,000 that once gave the frequencies: each of them counts."""
+    docs = spark.range(12_000).selectExpr("id as doc_id", "'the same line' as text")
+    frequencies, n, mean = packing._sampled(docs, queries.WORD_VOCABULARY, 2, packing.Packing())
+    assert n == 12_000 and set(frequencies.values()) == {12_000} and mean >= 2
