@@ -10,8 +10,9 @@ language with the lowest cross-entropy per character wins. Scores and the
 limit beyond which a text is rejected are calibrated on labelled documents
 that were left out of training.
 
-Training takes about ``per_language`` labelled documents of each language,
-chosen by a hash of their ids; this bounds the model, which is broadcast.
+Training takes all labelled documents. The model, which is broadcast, holds
+each distinct n-gram of letters once: it grows with the letters that occur
+together, not with the number of documents.
 """
 
 from __future__ import annotations
@@ -25,11 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyhouse.llm.common import slices
+from tallyhouse.session import written
 
 ORDER = 4
 UNKNOWN = "und"
 _SPACE = 32
 _AT_ONCE = 1 << 17
+#: Characters whose n-grams are counted together before they leave a task.
+_COUNTED_AT_ONCE = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Beyond this length a text's cross-entropy no longer comes closer to its language's mean.
 _STEADY = 400
@@ -223,46 +227,69 @@ def _share_of(sample: Column) -> Column:
     return (F.xxhash64(sample.cast("string"), F.lit("language sample")).bitwiseAND(F.lit((1 << 40) - 1))) / float(1 << 40)
 
 
-def train(labelled: DataFrame, per_language: int = 1500, calibration: float = 0.2, id_column: str = "doc_id",
+def _distinct_grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of the highest order (rows of codes) in texts of codes, and their counts."""
+    codes = np.concatenate([*texts, np.full(ORDER - 1, _SPACE, np.uint32)])
+    begins = np.ones(len(codes) - ORDER + 1, bool)
+    ends = np.cumsum(list(map(len, texts)))
+    for back in range(1, ORDER):  # no n-gram goes on into the next text
+        begins[ends - back] = False
+    at = np.flatnonzero(begins)
+    letters, ranks = np.unique(codes, return_inverse=True)
+    if len(letters) > 1 << 16:
+        return np.unique(codes[at[:, None] + np.arange(ORDER)], axis=0, return_counts=True)
+    packed = np.zeros(len(at), np.uint64)
+    for i in range(ORDER):
+        packed = packed << np.uint64(16) | ranks[at + i].astype(np.uint64)
+    packed, number = np.unique(packed, return_counts=True)
+    shifts = np.arange(ORDER - 1, -1, -1, dtype=np.uint64) * np.uint64(16)
+    return letters[(packed[:, None] >> shifts & np.uint64(0xFFFF)).astype(np.int64)], number
+
+
+def train(labelled: DataFrame, calibration: float = 0.2, id_column: str = "doc_id",
           text_column: str = "text", lang_column: str = "lang", few: int = 40) -> Model | None:
     """The model of all languages in ``labelled``; rows without id, text or language are left out.
 
-    ``per_language`` bounds the sample: a language with more documents is
-    sampled by a hash of the ids down to about that number. ``calibration`` is
-    the share of the sample that sets score and rejection and is not trained
-    on; a language with fewer than ``few`` rows is trained on all of them, has
-    no share there and rejects nothing. None if there is nothing to learn from.
+    ``calibration`` is the share of rows, drawn by a hash of the ids, that sets
+    score and rejection and is not trained on; a language with fewer than
+    ``few`` rows is trained on all of them, has no share there and rejects
+    nothing. None if there is nothing to learn from.
     """
     rows = labelled.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"),
                            F.col(lang_column).cast("string").alias("lang")).dropna()
     sizes = {row.lang: row.n for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
-    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))))
     # Of very few rows all might fall into the calibration share, and the language would be lost.
     held = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, calibration if n >= few else -1.0)))
-    sample = (rows.withColumn("draw", _share_of(F.col("doc_id")) / share[F.col("lang")]).where("draw <= 1")
-              .withColumn("held", F.col("draw") <= held[F.col("lang")]))
+    rows = rows.withColumn("held", _share_of(F.col("doc_id")) <= held[F.col("lang")])
     grams_schema = pa.schema([("lang", pa.string()), *((f"c{i}", pa.int32()) for i in range(ORDER)), ("n", pa.int64())])
 
+    def counts_of(waiting: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for lang, texts in waiting.items():
+            grams, number = _distinct_grams(texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(grams), pa.string()), *(pa.array(c.astype(np.int32)) for c in grams.T),
+                 pa.array(number.astype(np.int64))], schema=grams_schema)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[np.ndarray]] = {}
+        size = 0
         for batch in slices(batches):
-            by_language: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                by_language.setdefault(lang, []).append(letters_of(text))
-            for lang, codes in by_language.items():
-                windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(c, ORDER)
-                                          for c in codes if len(c) >= ORDER] or [np.empty((0, ORDER), np.uint32)])
-                grams, number = np.unique(windows, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams)), *(pa.array(c.astype(np.int32)) for c in grams.T),
-                     pa.array(number.astype(np.int64))], schema=grams_schema)
+                codes = letters_of(text)
+                waiting.setdefault(lang, []).append(codes)
+                size += len(codes)
+                if size >= _COUNTED_AT_ONCE:
+                    yield from counts_of(waiting)
+                    waiting, size = {}, 0
+        yield from counts_of(waiting)
 
     names = [f"c{i}" for i in range(ORDER)]
-    trained = sample.where("not held").select("lang", "text")
+    trained = rows.where("not held").select("lang", "text")
     counted = (trained.mapInArrow(count, "lang string, " + ", ".join(f"{c} int" for c in names) + ", n long")
                .groupBy("lang", *names).agg(F.sum("n").alias("n")))
-    frame = counted.toPandas()  # as many rows as the bounded sample has distinct n-grams
+    frame = counted.toPandas()  # the model itself: the distinct n-grams of each language
     grams = {lang: (part[names].to_numpy(np.uint32), part["n"].to_numpy()) for lang, part in frame.groupby("lang")}
     languages = sorted(grams)
     if not languages:
@@ -270,46 +297,56 @@ def train(labelled: DataFrame, per_language: int = 1500, calibration: float = 0.
     orders, floor = _estimate(grams, languages)
     width = len(languages)
     draft = Model(languages, orders, floor, 1.0, np.zeros(width), np.full(width, np.inf))
-    return _calibrated(draft, sample.where("held").select("lang", "text"))
+    return _calibrated(draft, rows.where("held").select("lang", "text"))
 
 
 def _calibrated(draft: Model, held: DataFrame) -> Model:
-    """Temperature of the score by least log-loss; mean and limit of each language's cross-entropy."""
+    """Temperature of the score by least log-loss; mean and limit of each language's cross-entropy.
+
+    Entropies are measured once and stored; only sums and maxima, a row for
+    each temperature or language, leave the tasks.
+    """
     shared = held.sparkSession.sparkContext.broadcast(draft)
-    schema = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("entropy", pa.list_(pa.float64()))])
+    schema = pa.schema([("truth", pa.int32()), ("n", pa.int64()), ("entropy", pa.list_(pa.float64()))])
+    temperatures = 2.0 ** np.arange(-6, 6.25, 0.25)
+    languages = draft.languages
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             totals, lengths, letters = _sums(shared.value, batch.column("text").to_pylist())
-            some = np.flatnonzero(letters)
+            truth = np.array([languages.index(x) if x in languages else -1 for x in batch.column("lang").to_pylist()])
+            some = np.flatnonzero((letters > 0) & (truth >= 0))
             entropy = -totals[some] / lengths[some, None]
-            yield pa.RecordBatch.from_arrays([batch.column("lang").take(pa.array(some)), pa.array(lengths[some]),
+            yield pa.RecordBatch.from_arrays([pa.array(truth[some], pa.int32()), pa.array(lengths[some]),
                                               pa.array(entropy.tolist(), pa.list_(pa.float64()))], schema=schema)
 
-    rows = held.mapInArrow(measure, "lang string, n long, entropy array<double>").collect()  # a share of the sample
-    rows = [row for row in rows if row.lang in draft.languages]
-    if not rows:
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(temperatures))
+        for batch in slices(batches, 4096):
+            truth, n = batch.column("truth").to_numpy(), batch.column("n").to_numpy()
+            entropy = np.array(batch.column("entropy").to_pylist())
+            lead = (entropy.min(axis=1, keepdims=True) - entropy) * np.sqrt(n)[:, None]
+            for i, temperature in enumerate(temperatures):
+                scaled = lead * temperature
+                total[i] -= (scaled[np.arange(len(n)), truth] - np.log(np.exp(scaled).sum(axis=1))).sum()
+        yield pa.RecordBatch.from_pydict({"at": pa.array(range(len(total)), pa.int32()), "loss": pa.array(total)})
+
+    measured = written(held.mapInArrow(measure, "truth int, n long, entropy array<double>"), "entropies")
+    steady = F.sqrt(F.least(F.col("n"), F.lit(_STEADY)).cast("double"))
+    # The language itself does best: of equally good ones the first counts.
+    own = (measured.where(F.array_position("entropy", F.array_min("entropy")) == F.col("truth") + 1)
+           .select("truth", F.get("entropy", F.col("truth")).alias("entropy"), steady.alias("steady")))
+    if measured.isEmpty():
         return draft
-    truth = np.array([draft.languages.index(row.lang) for row in rows])
-    entropy = np.array([row.entropy for row in rows])
-    root = np.sqrt(np.array([row.n for row in rows], float))
-    lead = (entropy.min(axis=1, keepdims=True) - entropy) * root[:, None]
-
-    def loss(temperature: float) -> float:
-        scaled = lead * temperature
-        return float(-(scaled[np.arange(len(rows)), truth] - np.log(np.exp(scaled).sum(axis=1))).mean())
-
-    temperature = min((2.0 ** power for power in np.arange(-6, 6.25, 0.25)), key=loss)
-    best = entropy.argmin(axis=1)
-    mean, limit = np.zeros(len(draft.languages)), np.full(len(draft.languages), np.inf)
-    steady = np.sqrt(np.minimum(root ** 2, _STEADY))
-    for column in range(len(draft.languages)):
-        own = (best == column) & (truth == column)
-        if own.any():
-            mean[column] = np.average(entropy[own, column], weights=steady[own])
-            # Three times as far as the farthest calibration document: only what is unlike all of them goes.
-            limit[column] = 3 * max(((entropy[own, column] - mean[column]) * steady[own]).max(), 1.0)
-    return draft._replace(temperature=float(temperature), mean=mean, limit=limit)
+    loss = {row["at"]: row["loss"] for row in measured.mapInArrow(losses, "at int, loss double").groupBy("at").agg(F.sum("loss").alias("loss")).collect()}
+    mean, limit = np.zeros(len(languages)), np.full(len(languages), np.inf)
+    for row in own.groupBy("truth").agg((F.sum(F.col("entropy") * F.col("steady")) / F.sum("steady")).alias("mean")).collect():
+        mean[row.truth] = round(row["mean"], 9)  # whatever order the tasks were added in
+    centre = F.get(F.array(*map(F.lit, mean.tolist())), F.col("truth"))
+    for row in own.groupBy("truth").agg(F.max((F.col("entropy") - centre) * F.col("steady")).alias("most")).collect():
+        # Three times as far as the farthest calibration document: only what is unlike all of them goes.
+        limit[row.truth] = 3 * max(row["most"], 1.0)
+    return draft._replace(temperature=float(temperatures[min(loss, key=lambda at: (loss[at], at))]), mean=mean, limit=limit)
 
 
 def identify(docs: DataFrame, model: Model | None, text_column: str = "text") -> DataFrame:

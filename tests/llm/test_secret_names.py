@@ -57,3 +57,10 @@ def test_ordinary_names_stay_and_random_keys_are_found(spark, model):
 def test_probed_sentences_stay(spark, model):
     df = spark.createDataFrame(list(enumerate(PROBED)), "doc_id long, text string")
     assert [r.text for r in sorted(secrets.redacted(secrets.scan_secrets(df, model)).collect(), key=lambda r: r.doc_id)] == PROBED
+
+
+def test_every_document_is_counted(spark):
+    """More documents than the 20,000 that once gave the chains: 30,000 of them hold one pair and nothing else."""
+    docs = spark.range(30_000).selectExpr("id as doc_id", "'qz' as text")
+    found = {(r.random, r.token): r.n for r in secrets.labelled_tokens(docs).groupBy("random", "token").sum("n").toDF("random", "token", "n").collect()}
+    assert {token: n for (random, token), n in found.items() if not random} == {"qz": 60_000, "Qz": 30_000, "QZ": 30_000}
