@@ -4,27 +4,22 @@ Three patterns give the base spans. The method adds spans of kind ``random``:
 every run of letters and digits, which is a part of a path, an address or a
 name, is scored by the log-likelihood ratio of two first-order Markov chains
 over characters, one trained on samples labelled random, one on ordinary
-identifiers. The scan is column expressions; training counts pairs of
-characters of all documents task by task, and only the two tables of pairs,
-whose size the alphabet bounds, pass through the driver.
+identifiers. Scan and training are column expressions; training counts the
+words of all documents, then their pairs of characters, and only the two
+tables of pairs, whose size the alphabet bounds, pass through the driver.
 """
 
 from __future__ import annotations
 
-import base64
-import hashlib
 import json
 import math
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.llm.common import slices
-
 #: The base patterns, and what a match needs beyond its pattern.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 6
@@ -162,108 +157,59 @@ def train(labelled: DataFrame, prior: float = 1e-6, single: float = 0.2) -> Mark
     return Markov([gains[a + b] for a in ALPHABET for b in ALPHABET], threshold, 1 + math.ceil(2 * threshold / max(gain, 0.1)))
 
 
-#: By byte: the place in ``ALPHABET``, or ``_NONE``; by place: that of the small and of the capital letter.
-_NONE = len(ALPHABET)
-_CODES = np.full(256, _NONE, np.uint8)
-_CODES[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(_NONE)
-_SMALL, _CAPITAL = (np.array([*(ALPHABET.index(change(c)) for c in ALPHABET), _NONE], np.uint8) for change in (str.lower, str.upper))
-_ALNUM = sum(map(str.isalnum, ALPHABET))
-#: Python's patterns ignore case beyond ASCII unless told not to.
-_PATTERNS = tuple(re.compile(p.replace("(?i:", "(?ai:")) for p in (ASSIGN, ACCESS, HEX))
-_NAMED = ("passw", "secret", "token", "api")
-_AT_ONCE = 1 << 18
-
-
-def _codes_of(texts: list[str]) -> np.ndarray:
-    """Places in ``ALPHABET``, with a character outside it before, between and after the texts."""
-    joined = "\n".join(["", *texts, ""]).encode("latin-1", "replace")
-    return _CODES[np.frombuffer(joined, np.uint8)]
-
-
-def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """How often each pair of places occurs."""
-    width = _NONE + 1
-    return np.bincount(first.astype(np.int64) * width + second, minlength=width * width)
-
-
-def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First place of each run of letters and digits, and the place after it."""
-    inside = (codes < _ALNUM).astype(np.int8)
-    change = np.diff(inside)
-    return np.flatnonzero(change == 1) + 1, np.flatnonzero(change == -1) + 1
-
-
-def _ordinary_pairs(texts: list[str]) -> np.ndarray:
-    """Pairs in runs of letters and digits, and in the names made of every three of a text: AbcDefGhi, abcDefGhi and ABC."""
-    codes = _codes_of(texts)
-    begin, end = _runs(codes)
-    begin, end = begin[end - begin > 1], end[end - begin > 1]
-    if not len(begin):
-        return _pairs(codes[:0], codes[:0])
-    text = np.searchsorted(np.cumsum([1, *(len(t) + 1 for t in texts)]), begin, side="right")
-    number = np.arange(len(begin)) - np.searchsorted(text, text)
-    run = np.repeat(np.arange(len(begin)), end - begin - 1)
-    at = np.flatnonzero((codes[:-1] < _ALNUM) & (codes[1:] < _ALNUM))
-    small, capital = _SMALL[codes], _CAPITAL[codes]
-    titled = np.where(at == begin[run], capital[at], small[at])
-    leads = number[run] % 3 == 0
-    lead = at[leads]
-    met = np.flatnonzero((number[:-1] % 3 != 2) & (text[1:] == text[:-1]))
-    return (_pairs(codes[at], codes[at + 1]) + 2 * _pairs(titled, small[at + 1]) - _pairs(titled[leads], small[lead + 1])
-            + _pairs(small[lead], small[lead + 1]) + _pairs(capital[lead], capital[lead + 1])
-            + 2 * _pairs(small[end[met] - 1], capital[begin[met + 1]]))
-
-
-def _told_apart(texts: list[str], owns: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ordinary and of random samples of some texts."""
-    begin, end = _runs(_codes_of(texts))
-    long = begin[end - begin >= 20]
-    # Only texts with a long run of letters and digits can hold an access key or a hex run.
-    suspects = set(np.searchsorted(np.cumsum([1, *(len(t) + 1 for t in texts)]), long, side="right") - 1)
-    rest, random = [], []
-    for i, (text, own) in enumerate(zip(texts, owns)):
-        digest = hashlib.sha256((own + text).encode())
-        alone = re.sub("[^A-Za-z0-9]", "", base64.b64encode(digest.digest()).decode())
-        random += [alone, alone.upper(), hashlib.sha256(digest.hexdigest().encode()).hexdigest()]
-        lowered = text.lower()
-        if i in suspects or any(name in lowered for name in _NAMED):
-            assign, access, hexes = _PATTERNS
-            random += [m[2] for m in assign.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
-            random += access.findall(text) + hexes.findall(text)
-            for pattern in _PATTERNS:
-                text = pattern.sub(" ", text)
-        rest.append(text)
-    drawn = _codes_of(random)
-    return _ordinary_pairs(rest), _pairs(drawn[:-1], drawn[1:])
+#: In small letters, what every assignment holds: a quicker look than the pattern's.
+_NAMED = ("passw", "secret", "token", "apikey", "api_key")
+
+
+def _named(text: Column, then: Column, otherwise: Column) -> Column:
+    """``then`` where the text may hold an assignment."""
+    return F.when(reduce(or_, (F.contains(F.lower(text), F.lit(name)) for name in _NAMED)), then).otherwise(otherwise)
+
+
+def _ordinary(texts: DataFrame) -> DataFrame:
+    """Runs of letters and digits, and the names made of every three of a text (AbcDefGhi, abcDefGhi and ABC): tokens with their number.
+
+    A name is counted by its words and by the two characters where words meet
+    (after a plus sign), so that equal words of all texts are one row before
+    they are written as names write them.
+    """
+    word, number, n, leads = map(F.col, ("word", "number", "n", "leads"))
+    letter = lambda of, at: F.substring(of, at, F.lit(1))
+    runs = texts.select(F.regexp_extract_all("text", F.lit(f"{_PART}{{2,}}"), F.lit(0)).alias("runs"))
+    # Outer: otherwise the plan looks for the runs a second time, to leave out texts without any.
+    words = runs.select("runs", F.posexplode_outer("runs").alias("number", "word"))
+    met = F.when(number % 3 > 0, F.concat(F.lit("+"), letter(F.get("runs", number - 1), F.lit(-1)), letter(word, F.lit(1))))
+    counted = (words.select((number % 3 == 0).alias("leads"), F.explode(F.array(word, met)).alias("word")).where("word is not null")
+               .groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if("leads").alias("leads")))
+    form = lambda token, times: F.struct(F.lit(False).alias("random"), token.alias("token"), times.alias("n"))
+    titled = F.concat(F.upper(letter(word, F.lit(1))), F.lower(F.substring(word, F.lit(2), F.length(word))))
+    joint = F.concat(F.lower(letter(word, F.lit(2))), F.upper(letter(word, F.lit(3))))
+    return counted.select(F.inline(F.when(word.startswith("+"), F.array(form(joint, 2 * n))).otherwise(F.array(
+        form(word, n), form(titled, 2 * n - leads), form(F.lower(word), leads), form(F.upper(word), leads))))).where("n > 0")
 
 
 def labelled_tokens(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Samples for ``train`` from all documents, as pairs of characters (``token``) with their number ``n``.
+    """Samples for ``train`` from all documents: ``token``, whether it is ``random``, and for how many it stands (``n``).
 
     Ordinary is what the scan meets outside the base patterns' matches: runs of
     letters and digits, and names made of them as programs do, with inner or
     all capitals. Random are the values that the base patterns point at, and
     for each document a digest of its own, in base 64, in its capitals and in
-    hexadecimal digits. A task leaves two tables of pairs.
+    hexadecimal digits.
     """
     own = F.xxhash64(F.col(id_column).cast("string"), F.lit("secret sample")).bitwiseAND(F.lit((1 << 40) - 1))
-    schema = pa.schema([("random", pa.bool_()), ("token", pa.string()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, (_NONE + 1) ** 2), np.int64)
-        for batch in slices(batches):
-            texts, owns = batch.column("text").to_pylist(), batch.column("own").to_pylist()
-            ends = np.cumsum(list(map(len, texts)))
-            cuts = np.flatnonzero(np.diff(ends // _AT_ONCE)) + 1
-            for first, last in zip([0, *cuts], [*cuts, len(texts)]):
-                totals += _told_apart(texts[first:last], owns[first:last])
-        tables = totals.reshape(2, _NONE + 1, _NONE + 1)[:, :_NONE, :_NONE]
-        rows = [(bool(side), ALPHABET[a] + ALPHABET[b], int(tables[side, a, b])) for side, a, b in zip(*np.nonzero(tables))]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-    return (docs.select(F.col(text_column).alias("text"), own.cast("string").alias("own")).where("text is not null")
-            .mapInArrow(run, "random boolean, token string, n long"))
+    texts = docs.select(F.col(text_column).alias("text"), own.cast("string").alias("own")).where("text is not null")
+    text = F.col("text")
+    values = F.concat(
+        _named(text, F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= ASSIGN_LEAST),
+               F.array().cast("array<string>")),
+        F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
+    digest = F.sha2(F.concat("own", "text"), 256)
+    alone = F.regexp_replace(F.base64(F.unhex(digest)), "[^A-Za-z0-9]", "")
+    random = texts.select(F.lit(True).alias("random"), F.explode_outer(F.concat(
+        values, F.array(alone, F.upper(alone), F.sha2(digest, 256)))).alias("token"), F.lit(1).cast("long").alias("n"))
+    rest = F.regexp_replace(F.regexp_replace(_named(text, F.regexp_replace("text", ASSIGN, " "), text), ACCESS, " "), HEX, " ")
+    return random.unionByName(_ordinary(texts.select(rest.alias("text"))))
 
 
 def scan_secrets(docs: DataFrame, model: Markov | None, text_column: str = "text") -> DataFrame:
