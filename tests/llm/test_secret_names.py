@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyhouse.llm import secrets
 
 WORDS = ("abstract access account action address application archive array article backup balance buffer build button cache calendar category "
@@ -112,3 +113,12 @@ def test_samples_are_those_of_a_plain_count_without_python(spark, capsys):
         assert pairs_of((r.token, r.n) for r in rows if r.random == side) == pairs_of((t, 1) for p in plain for t in p[not side])
     samples.explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_the_pipelines_stage_runs_no_python(spark, monkeypatch, capsys):
+    train = secrets.train
+    monkeypatch.setattr(secrets, "train", lambda labelled: (labelled.explain(), train(labelled))[1])
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    corpus_pipeline.secret_scan(spark, docs, "").explain()
+    told = capsys.readouterr().out
+    assert told.count("Physical Plan") == 2 and not re.search("Python|Pandas|Arrow", told)
